@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.rules import TEST_AS_OF, TEST_RULES
 from ..session import apply_session_conf
 from ..sources.fixtures import load_inputs
-from . import connect, lead, mobile
+from . import connect, contract, lead, mobile, usage_calls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,11 +34,16 @@ def queries() -> dict[str, Query]:
         "m03_mobile_signups": _mart(mobile.mobile_signups),
         "m04_sending_lead": _mart(lead.sending_lead),
         "m05_pushing_sign": _mart(lead.pushing_sign),
+        "m06_call_tasks": _mart(usage_calls.call_tasks),
+        "m07_push_usage_calls": _mart(usage_calls.push_usage_calls),
+        "m13_mc_contracts": _mart(contract.mc_contracts),
+        "m14_bnpl_usage_calls": _mart(usage_calls.push_usage_calls, bnpl=True),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from ..oracle import attribution_sql as A
+    from ..oracle import usage_sql as U
     a, r = TEST_AS_OF, TEST_RULES
     return {
         "m01_connected_calls": A.connect_sql(a, r),
@@ -46,4 +51,8 @@ def oracle_sql() -> dict[str, str]:
         "m03_mobile_signups": A.mobile_sql(a, r),
         "m04_sending_lead": A.sending_lead_sql(a, r),
         "m05_pushing_sign": A.pushing_sign_sql(a, r),
+        "m06_call_tasks": U.call_task_sql(a, r),
+        "m07_push_usage_calls": U.push_usage_call_sql(a, r),
+        "m13_mc_contracts": A.mc_contract_sql(a, r),
+        "m14_bnpl_usage_calls": U.push_usage_call_sql(a, r, bnpl=True),
     }
