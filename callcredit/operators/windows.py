@@ -24,11 +24,18 @@ def top1(df: DataFrame, keys, order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def latest_per(df: DataFrame, keys, by: str, ties=()) -> DataFrame:
+def latest_per(df: DataFrame, keys, by: str, ties=(), first: str | None = None) -> DataFrame:
     """Latest row per key: ``by`` descending with NULL first (the source
-    database's descending order), then the tie-breakers descending."""
+    database's descending order), then the tie-breakers descending.
+
+    ``first`` adds ``min(by) over (partition by keys)`` under that name (W6),
+    computed as a partial aggregate and joined on the one-row-per-key result.
+    """
     order = [F.col(by).desc_nulls_first()] + [F.col(t).desc_nulls_last() for t in ties]
-    return top1(df, keys, order)
+    latest = top1(df, keys, order)
+    if first is None:
+        return latest
+    return first_in_group(latest, list(keys), by, first, source=df)
 
 
 def earliest_per(df: DataFrame, keys, by: str, ties=()) -> DataFrame:
@@ -37,13 +44,15 @@ def earliest_per(df: DataFrame, keys, by: str, ties=()) -> DataFrame:
     return top1(df, keys, order)
 
 
-def first_in_group(df: DataFrame, keys: list[str], col: str, name: str) -> DataFrame:
+def first_in_group(df: DataFrame, keys: list[str], col: str, name: str,
+                   source: DataFrame | None = None) -> DataFrame:
     """``min(col) over (partition by keys)`` as a new column.
 
     Computed as a partial aggregate (one row per key per task) joined back on
     the key, NULL-safe so a NULL key forms its own group as in a window.
+    ``source`` is the frame the minimum is taken over (default ``df``).
     """
-    agg = df.groupBy(*keys).agg(F.min(col).alias(name))
+    agg = (source if source is not None else df).groupBy(*keys).agg(F.min(col).alias(name))
     agg = agg.select(*[F.col(k).alias(f"_g_{k}") for k in keys], name)
     cond = None
     for k in keys:

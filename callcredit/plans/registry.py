@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.rules import TEST_AS_OF, TEST_RULES
 from ..session import apply_session_conf
 from ..sources.fixtures import load_inputs
-from . import connect, contract, lead, mobile, usage_calls
+from . import campaign, connect, contract, lead, mobile, usage_bonus, usage_calls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,28 @@ def _mart(fn, **kw) -> Query:
     return run
 
 
+def _chain(spark: SparkSession, sf_dir: str, as_of=TEST_AS_OF, rules=TEST_RULES) -> dict[str, DataFrame]:
+    """The usage chain M7 -> M8 -> M9 -> M10 -> M11 (+ M14 -> M15) as lazy frames."""
+    apply_session_conf(spark)
+    inputs = load_inputs(spark, sf_dir)
+    out = {"m07": usage_calls.push_usage_calls(inputs, as_of, rules),
+           "m14": usage_calls.push_usage_calls(inputs, as_of, rules, bnpl=True)}
+    out["m08"] = usage_bonus.push_usage(inputs, out["m07"], as_of, rules)
+    out["m09"] = usage_bonus.usage_before_first_push(inputs, out["m08"], as_of, rules)
+    out["m10"] = usage_bonus.unrewarded_contracts(inputs, out["m08"], out["m09"], as_of, rules)
+    out["m11"] = usage_bonus.usage_bonus(out["m08"], out["m09"], out["m10"], as_of, rules)
+    out["m15"] = usage_bonus.bnpl_usage_bonus(inputs, out["m14"], as_of, rules)
+    out["m12"] = campaign.campaign_bonus(out["m11"], out["m15"], as_of, rules)
+    return out
+
+
+def _step(name: str, **kw) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _chain(spark, sf_dir, **kw)[name]
+    run.__name__ = name
+    return run
+
+
 def queries() -> dict[str, Query]:
     return {
         "m01_connected_calls": _mart(connect.connected_calls),
@@ -36,13 +58,20 @@ def queries() -> dict[str, Query]:
         "m05_pushing_sign": _mart(lead.pushing_sign),
         "m06_call_tasks": _mart(usage_calls.call_tasks),
         "m07_push_usage_calls": _mart(usage_calls.push_usage_calls),
+        "m08_push_usage": _step("m08"),
+        "m09_usage_before_first_push": _step("m09"),
+        "m10_unrewarded_contracts": _step("m10"),
+        "m11_usage_bonus": _step("m11"),
+        "m12_campaign_bonus": _step("m12"),
         "m13_mc_contracts": _mart(contract.mc_contracts),
         "m14_bnpl_usage_calls": _mart(usage_calls.push_usage_calls, bnpl=True),
+        "m15_bnpl_usage_bonus": _step("m15"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from ..oracle import attribution_sql as A
+    from ..oracle import bonus_sql as B
     from ..oracle import usage_sql as U
     a, r = TEST_AS_OF, TEST_RULES
     return {
@@ -53,6 +82,12 @@ def oracle_sql() -> dict[str, str]:
         "m05_pushing_sign": A.pushing_sign_sql(a, r),
         "m06_call_tasks": U.call_task_sql(a, r),
         "m07_push_usage_calls": U.push_usage_call_sql(a, r),
+        "m08_push_usage": B.push_usage_sql(a, r),
+        "m09_usage_before_first_push": B.before_push_sql(a, r),
+        "m10_unrewarded_contracts": B.no_push_sql(a, r),
+        "m11_usage_bonus": B.usage_bonus_sql(a, r),
+        "m12_campaign_bonus": B.campaign_bonus_sql(a, r),
         "m13_mc_contracts": A.mc_contract_sql(a, r),
         "m14_bnpl_usage_calls": U.push_usage_call_sql(a, r, bnpl=True),
+        "m15_bnpl_usage_bonus": B.bnpl_bonus_sql(a, r),
     }
