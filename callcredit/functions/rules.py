@@ -156,3 +156,8 @@ TEST_RULES = Rules(
     promo_end=_d("2024-01-20"),
 )
 TEST_AS_OF = _d("2024-01-31 12:00:00")
+
+# The merchant rule's second test run moves the cut-over into the test data.
+TEST_CUTOVER = _d("2024-01-20")
+TEST_BACKFILL_RULES = TEST_RULES.replace(gap_start=_d("2024-01-16"), gap_end=_d("2024-01-21"))
+TEST_CUTOVER_RULES = TEST_RULES.replace(usage_cutover=TEST_CUTOVER)

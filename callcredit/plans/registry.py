@@ -11,18 +11,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.rules import TEST_AS_OF, TEST_RULES
+from ..functions.rules import TEST_AS_OF, TEST_BACKFILL_RULES, TEST_CUTOVER_RULES, TEST_RULES
 from ..session import apply_session_conf
 from ..sources.fixtures import load_inputs
-from . import campaign, connect, contract, lead, mobile, usage_bonus, usage_calls
+from . import campaign, checks, connect, contract, lead, mobile, usage_bonus, usage_calls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _mart(fn, **kw) -> Query:
+def _mart(fn, rules=TEST_RULES, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_session_conf(spark)
-        return fn(load_inputs(spark, sf_dir), TEST_AS_OF, TEST_RULES, **kw)
+        return fn(load_inputs(spark, sf_dir), TEST_AS_OF, rules, **kw)
     run.__name__ = fn.__name__
     return run
 
@@ -66,12 +66,45 @@ def queries() -> dict[str, Query]:
         "m13_mc_contracts": _mart(contract.mc_contracts),
         "m14_bnpl_usage_calls": _mart(usage_calls.push_usage_calls, bnpl=True),
         "m15_bnpl_usage_bonus": _step("m15"),
+        # parameter variants of FIXTURES.md
+        "m07_push_usage_calls_backfill": _mart(usage_calls.push_usage_calls, rules=TEST_BACKFILL_RULES),
+        "m08_push_usage_cutover": _step("m08", rules=TEST_CUTOVER_RULES),
+        "m11_usage_bonus_cutover": _step("m11", rules=TEST_CUTOVER_RULES),
+        "m04_sending_lead_14_days": _mart(lead.sending_lead, days=14),
+        # operator-level checks over whole tables
+        "j01_validity_join": _mart(checks.validity_calls),
+        "j02_validity_left_join": _mart(checks.validity_left),
+        "j05_signup_band": _mart(checks.signup_band),
+        "j07_appointment_band": _mart(checks.appointment_band),
+        "j09_approval_band": _mart(checks.approval_band),
+        "j10_callback_pairs": _mart(checks.callback_pairs),
+        "j11_active_contracts": _mart(checks.active_contracts),
+        "j12_withdrawal_counts": _mart(checks.withdrawal_counts),
+        "j16_contracts_without_usage": _mart(checks.contracts_without_usage),
+        "j17_roster_calls": _mart(checks.roster_calls),
+        "w01_latest_call_per_client": _mart(checks.latest_call_per_client),
+        "w04_earliest_call_per_client_day": _mart(checks.earliest_call_per_client_day),
+        "w06_first_and_last_per_contact": _mart(checks.first_and_last_per_contact),
+        "w07_contract_sequence": _mart(checks.contract_sequence),
+        "u01_applications": _mart(checks.applications),
+        "u02_client_outcomes": _mart(checks.client_outcomes),
+        "a01_calls_per_agent_month": _mart(checks.calls_per_agent_month),
+        "a03_account_usage": _mart(checks.account_usage),
+        "f11_log_rules": _mart(checks.log_rules),
+        "f13_call_rules": _mart(checks.call_rules),
+        "f16_contract_rules": _mart(checks.contract_rules),
+        "f19_merchant_rules": _mart(checks.merchant_rules),
+        "f20_flag_rules": _mart(checks.flag_rules),
+        "x01_date_rules": _mart(checks.date_rules),
+        "x15_campaign_rules": _mart(checks.campaign_rules),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from ..oracle import attribution_sql as A
+    from ..functions.rules import TEST_BACKFILL_RULES, TEST_CUTOVER_RULES
     from ..oracle import bonus_sql as B
+    from ..oracle import checks_sql as C
     from ..oracle import usage_sql as U
     a, r = TEST_AS_OF, TEST_RULES
     return {
@@ -90,4 +123,9 @@ def oracle_sql() -> dict[str, str]:
         "m13_mc_contracts": A.mc_contract_sql(a, r),
         "m14_bnpl_usage_calls": U.push_usage_call_sql(a, r, bnpl=True),
         "m15_bnpl_usage_bonus": B.bnpl_bonus_sql(a, r),
+        "m07_push_usage_calls_backfill": U.push_usage_call_sql(a, TEST_BACKFILL_RULES),
+        "m08_push_usage_cutover": B.push_usage_sql(a, TEST_CUTOVER_RULES),
+        "m11_usage_bonus_cutover": B.usage_bonus_sql(a, TEST_CUTOVER_RULES),
+        "m04_sending_lead_14_days": A.sending_lead_sql(a, r, days=14),
+        **C.checks_sql(a, r),
     }
