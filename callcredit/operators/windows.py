@@ -1,8 +1,8 @@
 """Per-group selection and numbering.
 
-``top1`` is ``row_number() = 1``: Spark plans a partial WindowGroupLimit
-before the shuffle, so each map task ships at most one row per key and a key
-holding a third of all rows never reaches one task in full.
+``latest_per``/``earliest_per`` pick one row per key with an aggregate over an
+ordered struct (partial aggregation before every shuffle, skew-safe).
+``top1`` is the window form, ``row_number() = 1``, for arbitrary orders.
 ``sequence_ids`` numbers rows inside a group without gathering the group:
 rows are range-partitioned in the requested order, each task counts its slice,
 and the per-slice offsets (a table of at most partitions x groups rows) are
@@ -24,24 +24,46 @@ def top1(df: DataFrame, keys, order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def _pick(df: DataFrame, keys, by: str, ties, latest: bool, first: str | None) -> DataFrame:
+    """One row per key chosen by an ordered struct, as an aggregate.
+
+    ``max``/``min`` over ``struct(order..., payload...)`` is planned as a
+    partial aggregate before the shuffle, and stays partial when AQE splits a
+    skewed join below it, so a hot key arrives pre-reduced instead of whole.
+    Struct comparison puts NULL fields first, so explicit NULL flags give the
+    source database's order: descending with NULL first, ascending with NULL
+    last; tie-breakers keep NULL last in both directions.
+    """
+    keys = list(keys)
+    payload = [c for c in df.columns if c not in keys]
+    if latest:  # max: NULL by first, ties descending NULL last
+        order = [F.col(by).isNull().alias("_n"), F.col(by).alias("_o")] + \
+                [F.col(t).alias(f"_t{i}") for i, t in enumerate(ties)]
+        agg = F.max
+    else:       # min: by ascending NULL last, ties ascending NULL last
+        order = [F.col(by).isNull().alias("_n"), F.col(by).alias("_o")]
+        for i, t in enumerate(ties):
+            order += [F.col(t).isNull().alias(f"_tn{i}"), F.col(t).alias(f"_t{i}")]
+        agg = F.min
+    pick = agg(F.struct(*order, *[F.col(c).alias(c) for c in payload])).alias("_pick")
+    extra = [F.min(by).alias(first)] if first else []
+    out = df.groupBy(*keys).agg(pick, *extra)
+    return out.select(*keys, *[F.col(f"_pick.{c}").alias(c) for c in payload], *([first] if first else []))
+
+
 def latest_per(df: DataFrame, keys, by: str, ties=(), first: str | None = None) -> DataFrame:
-    """Latest row per key: ``by`` descending with NULL first (the source
-    database's descending order), then the tie-breakers descending.
+    """Latest row per key (W1-W3, W5): ``by`` descending with NULL first (the
+    source database's descending order), then the tie-breakers descending.
 
     ``first`` adds ``min(by) over (partition by keys)`` under that name (W6),
-    computed as a partial aggregate and joined on the one-row-per-key result.
+    from the same aggregate.
     """
-    order = [F.col(by).desc_nulls_first()] + [F.col(t).desc_nulls_last() for t in ties]
-    latest = top1(df, keys, order)
-    if first is None:
-        return latest
-    return first_in_group(latest, list(keys), by, first, source=df)
+    return _pick(df, keys, by, ties, latest=True, first=first)
 
 
 def earliest_per(df: DataFrame, keys, by: str, ties=()) -> DataFrame:
-    """Earliest row per key: ``by`` ascending with NULL last, then ties ascending."""
-    order = [F.col(by).asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in ties]
-    return top1(df, keys, order)
+    """Earliest row per key (W4): ``by`` ascending with NULL last, then ties ascending."""
+    return _pick(df, keys, by, ties, latest=False, first=None)
 
 
 def first_in_group(df: DataFrame, keys: list[str], col: str, name: str,

@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even when that needs one more shuffle above it: the
+    # aggregates above then run partially on the split pieces first.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # Broadcast only what the planner or AQE measured to be small; larger sides
     # fall back to sort-merge joins with AQE skew splitting.
