@@ -1,0 +1,6 @@
+"""Streaming: none.
+
+The job refreshes its marts as batch reruns over a fixed look-back (the K1
+rolling window); it has no streams, watermarks, triggers or state. Late rows
+are picked up by the next rerun's window. Nothing is built here on purpose.
+"""
