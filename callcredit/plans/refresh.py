@@ -52,45 +52,46 @@ def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target
         fn()
         timings[name] = round(time.time() - t, 3)
 
-    def k1(name, df, part, expr, in_window, keep=()):
-        timed(name, lambda: sinks.replace_window(_with_part(df, part, expr), path(name), part,
+    def k1(name, build, part, expr, in_window, keep=()):
+        timed(name, lambda: sinks.replace_window(_with_part(build(), part, expr), path(name), part,
                                                  in_window, keep))
 
-    def k2(name, df):
-        timed(name, lambda: sinks.full_refresh(df, path(name)))
+    def k2(name, build):
+        timed(name, lambda: sinks.full_refresh(build(), path(name)))
 
     def table(name, part=None):
         return _mart_columns(sinks.read_table(spark, paths[name]), part)
 
     c = F.col
-    k1("connect", connect.connected_calls(inputs, as_of, rules), "month_part", c("month"),
+    k1("connect", lambda: connect.connected_calls(inputs, as_of, rules), "month_part", c("month"),
        lambda v: v >= month1, keep=rules.keep_months)
-    k1("connect_client", connect.connected_clients(inputs, as_of, rules), "month_part", c("month"),
+    k1("connect_client", lambda: connect.connected_clients(inputs, as_of, rules), "month_part", c("month"),
        lambda v: v >= month1)
-    k1("mobile_app", mobile.mobile_signups(inputs, as_of, rules), "month_part", c("sign_up_month"),
+    k1("mobile_app", lambda: mobile.mobile_signups(inputs, as_of, rules), "month_part", c("sign_up_month"),
        lambda v: v >= month1)
-    k1("sending_lead", lead.sending_lead(inputs, as_of, rules, days), "sign_day",
+    k1("sending_lead", lambda: lead.sending_lead(inputs, as_of, rules, days), "sign_day",
        F.date_format("sign_date", DAY), lambda v: v >= attr_day)
-    k1("pushing_sign", lead.pushing_sign(inputs, as_of, rules, days), "sign_day",
+    k1("pushing_sign", lambda: lead.pushing_sign(inputs, as_of, rules, days), "sign_day",
        F.date_format("sign_date", DAY), lambda v: v >= attr_day)
-    k2("call_task", usage_calls.call_tasks(inputs, as_of, rules))
+    k2("call_task", lambda: usage_calls.call_tasks(inputs, as_of, rules))
     # The manual backfill re-inserts the lost days every run: they are part of the
     # replaced window so reruns do not pile them up.
-    k1("push_usage_call", usage_calls.push_usage_calls(inputs, as_of, rules, tasks=table("call_task")),
+    k1("push_usage_call", lambda: usage_calls.push_usage_calls(inputs, as_of, rules, tasks=table("call_task")),
        "call_day", F.date_format("time_of_call_start", DAY),
        lambda v: v >= usage_day or gap[0] <= v < gap[1])
-    m7 = table("push_usage_call", "call_day")
-    k2("push_usage", usage_bonus.push_usage(inputs, m7, as_of, rules))
-    m8 = table("push_usage")
-    k2("usage_before_first_push", usage_bonus.usage_before_first_push(inputs, m8, as_of, rules))
-    m9 = table("usage_before_first_push")
-    k2("no_push_usage", usage_bonus.unrewarded_contracts(inputs, m8, m9, as_of, rules))
-    k2("bonus_push_usage", usage_bonus.usage_bonus(m8, m9, table("no_push_usage"), as_of, rules))
-    k1("mc_contract", contract.mc_contracts(inputs, as_of, rules), "signed_month",
+    k2("push_usage", lambda: usage_bonus.push_usage(inputs, table("push_usage_call", "call_day"), as_of, rules))
+    k2("usage_before_first_push",
+       lambda: usage_bonus.usage_before_first_push(inputs, table("push_usage"), as_of, rules))
+    k2("no_push_usage", lambda: usage_bonus.unrewarded_contracts(inputs, table("push_usage"),
+                                                                 table("usage_before_first_push"), as_of, rules))
+    k2("bonus_push_usage", lambda: usage_bonus.usage_bonus(table("push_usage"), table("usage_before_first_push"),
+                                                           table("no_push_usage"), as_of, rules))
+    k1("mc_contract", lambda: contract.mc_contracts(inputs, as_of, rules), "signed_month",
        month_key(c("signed_date")), lambda v: v >= month2)
-    k2("bnpl_usage_calls", usage_calls.push_usage_calls(inputs, as_of, rules, bnpl=True))
-    k2("bnpl_usage_bonus", usage_bonus.bnpl_usage_bonus(inputs, table("bnpl_usage_calls"), as_of, rules))
+    k2("bnpl_usage_calls", lambda: usage_calls.push_usage_calls(inputs, as_of, rules, bnpl=True))
+    k2("bnpl_usage_bonus", lambda: usage_bonus.bnpl_usage_bonus(inputs, table("bnpl_usage_calls"), as_of, rules))
     # Card rows and BNPL rows replace the window in one write (K1 + K3 of the source).
-    k1("camp_bonus", campaign.campaign_bonus(table("bonus_push_usage"), table("bnpl_usage_bonus"), as_of, rules),
+    k1("camp_bonus", lambda: campaign.campaign_bonus(table("bonus_push_usage"), table("bnpl_usage_bonus"),
+                                                     as_of, rules),
        "month_part", c("bonus_mth"), lambda v: v >= month2)
     return paths

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.rules import TEST_AS_OF, TEST_BACKFILL_RULES, TEST_CUTOVER_RULES, TEST_RULES
-from ..session import apply_session_conf
+from ..session import apply_session_conf, ensure_checkpoint_dir
 from ..sources.fixtures import load_inputs
 from . import campaign, checks, connect, contract, lead, mobile, usage_bonus, usage_calls
 
@@ -27,24 +27,52 @@ def _mart(fn, rules=TEST_RULES, **kw) -> Query:
     return run
 
 
-def _chain(spark: SparkSession, sf_dir: str, as_of=TEST_AS_OF, rules=TEST_RULES) -> dict[str, DataFrame]:
-    """The usage chain M7 -> M8 -> M9 -> M10 -> M11 (+ M14 -> M15) as lazy frames."""
+def _cut(df: DataFrame) -> DataFrame:
+    """Materialise a step reused downstream into the shared checkpoint folder
+    (``spark.checkpoint.dir``), cutting its lineage like the refresh's tables."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _chain(spark: SparkSession, sf_dir: str, want: str, as_of=TEST_AS_OF, rules=TEST_RULES) -> DataFrame:
+    """One step of the usage chain (M7 -> M8 -> M9 -> M10 -> M11, M14 -> M15,
+    M11 + M15 -> M12), building only the steps it depends on."""
     apply_session_conf(spark)
     inputs = load_inputs(spark, sf_dir)
-    out = {"m07": usage_calls.push_usage_calls(inputs, as_of, rules),
-           "m14": usage_calls.push_usage_calls(inputs, as_of, rules, bnpl=True)}
-    out["m08"] = usage_bonus.push_usage(inputs, out["m07"], as_of, rules)
-    out["m09"] = usage_bonus.usage_before_first_push(inputs, out["m08"], as_of, rules)
-    out["m10"] = usage_bonus.unrewarded_contracts(inputs, out["m08"], out["m09"], as_of, rules)
-    out["m11"] = usage_bonus.usage_bonus(out["m08"], out["m09"], out["m10"], as_of, rules)
-    out["m15"] = usage_bonus.bnpl_usage_bonus(inputs, out["m14"], as_of, rules)
-    out["m12"] = campaign.campaign_bonus(out["m11"], out["m15"], as_of, rules)
-    return out
+    memo: dict[str, DataFrame] = {}
+
+    def get(name: str) -> DataFrame:
+        if name in memo:
+            return memo[name]
+        if name == "m07":
+            df = usage_calls.push_usage_calls(inputs, as_of, rules)
+        elif name == "m14":
+            df = usage_calls.push_usage_calls(inputs, as_of, rules, bnpl=True)
+        elif name == "m08":
+            df = usage_bonus.push_usage(inputs, get("m07"), as_of, rules)
+        elif name == "m09":
+            df = usage_bonus.usage_before_first_push(inputs, get("m08"), as_of, rules)
+        elif name == "m10":
+            df = usage_bonus.unrewarded_contracts(inputs, get("m08"), get("m09"), as_of, rules)
+        elif name == "m11":
+            df = usage_bonus.usage_bonus(get("m08"), get("m09"), get("m10"), as_of, rules)
+        elif name == "m15":
+            df = usage_bonus.bnpl_usage_bonus(inputs, get("m14"), as_of, rules)
+        elif name == "m12":
+            df = campaign.campaign_bonus(get("m11"), get("m15"), as_of, rules)
+        else:
+            raise KeyError(name)
+        if name != want and name in ("m07", "m14", "m08", "m09"):
+            df = _cut(df)
+        memo[name] = df
+        return df
+
+    return get(want)
 
 
 def _step(name: str, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _chain(spark, sf_dir, **kw)[name]
+        return _chain(spark, sf_dir, name, **kw)
     run.__name__ = name
     return run
 

@@ -15,7 +15,7 @@ from ..functions import predicates as P
 from ..functions import rules as R
 from ..functions.dates import day_floor, month_text, months_back_start, plus_days, shift_months, ts_lit
 from ..operators.joins import band_join, restrict_to
-from ..operators.sets import union_distinct
+from ..operators.sets import union_all, union_distinct
 
 OUTPUT = ["date_campaign_start", "date_campaign_end", "text_name_call_list", "time_of_call_start",
           "time_of_call_end", "durations", "call_type", "record_type", "cuid", "il_communication_id",
@@ -79,7 +79,11 @@ def outbound_calls(inputs, as_of, rules: R.Rules = R.DEFAULT_RULES, bnpl: bool =
         P.backfill_record_type(F.col("call_back_type")).alias("record_type"), "cuid",
         F.col("_bf_comm_id").cast("bigint").alias("il_communication_id"), "call_id", "username",
         "response_result_2", P.backfill_call_list(F.col("call_back_call_list")).alias("call_list_gen"))
-    return union_distinct(regular, backfill)
+    # The source unions these with UNION (distinct). Identical call rows can only
+    # produce identical output rows, and the agreed/callback union and the final
+    # grouping remove those, so the result is the same without shuffling every
+    # call of the window once more.
+    return union_all(regular, backfill)
 
 
 def push_usage_calls(inputs, as_of, rules: R.Rules = R.DEFAULT_RULES, bnpl: bool = False,
