@@ -98,3 +98,19 @@ def restrict_to(df: DataFrame, roster: DataFrame, left_key: Column, right_key: s
     """Keep rows whose key is on the (distinct) roster."""
     r = roster.select(F.col(right_key).alias("_roster_key"))
     return df.join(r, left_key == F.col("_roster_key"), "left_semi")
+
+
+def validity_overlaps(dim: DataFrame, key: str, valid_from: str, valid_to: str, as_of) -> DataFrame:
+    """Q6 data check: validity rows that overlap an earlier row of the same key.
+
+    A row covers ``[from, nvl(to, as_of) + 1 day)``. Rows are ordered by start
+    per key and each is compared with the latest end of the rows before it,
+    so no pairs are formed. Returns the overlapping rows with that end.
+    """
+    from pyspark.sql import Window
+    end = plus_days(F.coalesce(F.col(valid_to), ts_lit(as_of)), 1)
+    w = (Window.partitionBy(key)
+         .orderBy(F.col(valid_from).asc_nulls_first(), end.asc_nulls_first())
+         .rowsBetween(Window.unboundedPreceding, -1))
+    marked = dim.withColumn("previous_end", F.max(end).over(w))
+    return marked.where(F.col("previous_end") > F.col(valid_from))

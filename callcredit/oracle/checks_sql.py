@@ -23,6 +23,15 @@ def checks_sql(as_of, rules: R.Rules) -> dict[str, str]:
     a = ts(as_of)
     cut = ts(R.TEST_CUTOVER)
     return {
+        "q06_validity_overlaps": _q(f"""
+SELECT * FROM (
+  SELECT username, team, date_valid_from, date_valid_to, channel,
+         max(coalesce(date_valid_to, {a}) + INTERVAL 1 DAY) OVER (
+           PARTITION BY username
+           ORDER BY date_valid_from ASC NULLS FIRST, coalesce(date_valid_to, {a}) + INTERVAL 1 DAY ASC NULLS FIRST
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_end
+  FROM employee) x
+WHERE previous_end > date_valid_from"""),
         "j01_validity_join": _q(f"""
 SELECT g.time_of_call_start, g.resource_name, g.cuid, e.username, e.team, e.channel
 FROM call_log g JOIN employee e ON lower(g.resource_name) = e.username

@@ -12,7 +12,7 @@ from ..functions import rules as R
 from ..functions.dates import day_start, minus_minutes, month_key, month_start, plus_days
 from ..operators.aggregates import usage_summary
 from ..operators.joins import (band_join, card_transactions, contract_accounts, exclude_flagged, restrict_to,
-                               validity_join)
+                               validity_join, validity_overlaps)
 from ..operators.sets import union_all, union_distinct
 from ..operators.windows import earliest_per, latest_per, sequence_ids
 
@@ -266,3 +266,8 @@ def date_rules(inputs, as_of, rules) -> DataFrame:
     return g.select("call_id", day_start(ts).alias("day"), month_start(ts).alias("month_start"),
                     month_key(ts).alias("month"), plus_days(ts, 8).alias("plus8"),
                     P.next_days(ts, 4).alias("next4"), minus_minutes(ts, 1).alias("minus1m"))
+
+
+def agent_validity_overlaps(inputs, as_of, rules) -> DataFrame:
+    """Q6: agent versions whose validity overlaps an earlier version."""
+    return validity_overlaps(inputs["employee"], "username", "date_valid_from", "date_valid_to", as_of)

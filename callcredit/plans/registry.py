@@ -125,6 +125,7 @@ def queries() -> dict[str, Query]:
         "f20_flag_rules": _mart(checks.flag_rules),
         "x01_date_rules": _mart(checks.date_rules),
         "x15_campaign_rules": _mart(checks.campaign_rules),
+        "q06_validity_overlaps": _mart(checks.agent_validity_overlaps),
     }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from callcredit.functions.dates import day_start, plus_days
 from callcredit.operators.aggregates import usage_summary
-from callcredit.operators.joins import band_join, exclude_flagged, restrict_to, validity_join
+from callcredit.operators.joins import band_join, exclude_flagged, restrict_to, validity_join, validity_overlaps
 from callcredit.operators.sets import union_all, union_distinct
 from callcredit.operators.windows import earliest_per, first_in_group, latest_per, sequence_ids
 from tests.helpers import T, rows, srt
@@ -116,3 +116,13 @@ def test_usage_summary_collapses_identical_rows(spark):
     r = usage_summary(df, ["k"], "a", "t", "m", cut).collect()[0]
     assert (r.total_amount, r.num_transaction, r.first_usage_date, r.total_transaction) == \
         (Decimal("15.00"), 1, T("2024-01-02"), 2)
+
+
+def test_validity_overlaps(spark):
+    dim = spark.createDataFrame([("a", T("2024-01-01"), T("2024-01-14")), ("a", T("2024-01-15"), None),
+                                 ("b", T("2024-01-01"), T("2024-01-14")), ("b", T("2024-01-14"), None),
+                                 ("c", T("2024-01-01"), None), ("c", T("2024-01-10"), T("2024-01-11"))],
+                                "username string, f timestamp_ntz, e timestamp_ntz")
+    got = validity_overlaps(dim, "username", "f", "e", T("2024-01-31 12:00"))
+    # the end is inclusive by day: b's second version starts inside the first one
+    assert rows(got, "username", "f") == [("b", T("2024-01-14")), ("c", T("2024-01-10"))]
