@@ -89,3 +89,21 @@ def test_unrewarded_anti_join_flag_null_vs_one(spark):
                                    "total_amount decimal(38,2), num_transaction long, total_transaction long")
     got = usage_bonus.unrewarded_contracts(inputs, pu, bp, AS_OF, TEST_RULES)
     assert rows(got, "contract_code", "total_transaction") == [("C2", 0)]
+
+
+def test_results_ignore_input_order(spark):
+    """Metamorphic: reshuffling the inputs leaves tie-broken results unchanged."""
+    from pyspark.sql import functions as F
+
+    from callcredit.plans import lead
+    from callcredit.sources.fixtures import load_inputs
+    from tests.conftest import SF_SMALL
+    base = load_inputs(spark, SF_SMALL)
+    shuffled = {k: v.repartition(7, F.rand(11)) for k, v in base.items()}
+    for fn in (lead.sending_lead, lead.pushing_sign):
+        assert rows(fn(base, AS_OF, TEST_RULES)) == rows(fn(shuffled, AS_OF, TEST_RULES))
+    from callcredit.plans import usage_calls
+    a = usage_bonus.push_usage(base, usage_calls.push_usage_calls(base, AS_OF, TEST_RULES), AS_OF, TEST_RULES)
+    b = usage_bonus.push_usage(shuffled, usage_calls.push_usage_calls(shuffled, AS_OF, TEST_RULES), AS_OF,
+                               TEST_RULES)
+    assert rows(a) == rows(b)
