@@ -82,8 +82,13 @@ def contract_accounts(df: DataFrame, contract_col: str, contract_dim: DataFrame,
 
 
 def card_transactions(accounts: DataFrame, txns: DataFrame, cond: Column, **bucket) -> DataFrame:
-    """Transactions of the attached card accounts satisfying ``cond`` (inner)."""
-    t = txns.withColumnRenamed("skp_card_account", "_txn_account")
+    """Transactions of the attached card accounts satisfying ``cond`` (inner).
+
+    The transaction table is the unbounded fact side: it is never broadcast
+    (``merge`` hint), so the join shuffles both sides on the account (and day)
+    and AQE splits a hot account.
+    """
+    t = txns.withColumnRenamed("skp_card_account", "_txn_account").hint("merge")
     return band_join(accounts, t, (F.col("skp_card_account") == F.col("_txn_account")) & cond,
                      "inner", **bucket).drop("_txn_account")
 

@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_SLICES = 512
+
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -91,7 +94,9 @@ def sequence_ids(df: DataFrame, keys: list[str], order: list[Column], name: str,
     deterministic and a recomputed task reproduces it.
     """
     spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A fixed slice count: AQE never re-coalesces this shuffle, so the slice ids
+    # seen by the counting branch and the numbering branch are the same.
+    n = slices or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_SLICES)
     key_cols = _cols(keys)
     ordered = (df.repartitionByRange(n, *[k.asc_nulls_first() for k in key_cols], *order)
                  .sortWithinPartitions(*[k.asc_nulls_first() for k in key_cols], *order))
