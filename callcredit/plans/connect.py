@@ -11,6 +11,12 @@ from ..functions.dates import month_key, months_back_start
 from ..operators.joins import validity_join
 
 
+def qualified_calls(inputs, as_of, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
+    """Qualified, counted calls since last month joined to the agent version
+    valid at call time (shared by M1 and M2)."""
+    return _qualified_calls(inputs, as_of, rules, excluded_days=False)
+
+
 def _qualified_calls(inputs, as_of, rules: R.Rules, excluded_days: bool) -> DataFrame:
     bound = months_back_start(as_of, 1)
     g = inputs["call_log"]
@@ -28,18 +34,24 @@ def _qualified_calls(inputs, as_of, rules: R.Rules, excluded_days: bool) -> Data
                          F.col("date_valid_from"), F.col("date_valid_to"), as_of)
 
 
-def connected_calls(inputs, as_of, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
-    """M1: qualified calls per month, agent and agent channel."""
-    j = _qualified_calls(inputs, as_of, rules, excluded_days=True)
+def connected_calls(inputs, as_of, rules: R.Rules = R.DEFAULT_RULES,
+                    joined: DataFrame | None = None) -> DataFrame:
+    """M1: qualified calls per month, agent and agent channel (excluded days
+    removed). ``joined`` may pass ``qualified_calls(...)`` already computed."""
+    if joined is None:
+        j = _qualified_calls(inputs, as_of, rules, excluded_days=True)
+    else:
+        j = joined.where(P.not_on_days(F.col("time_of_call_start"), rules.excluded_days))
     return (j.groupBy(month_key(F.col("time_of_call_start")).alias("month"),
                       F.col("resource_name").alias("username"), "channel")
              .agg(F.count(F.lit(1)).alias("connected"))
              .select("month", "username", "connected", "channel"))
 
 
-def connected_clients(inputs, as_of, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
+def connected_clients(inputs, as_of, rules: R.Rules = R.DEFAULT_RULES,
+                      joined: DataFrame | None = None) -> DataFrame:
     """M2: distinct clients per month and agent (no excluded days)."""
-    j = _qualified_calls(inputs, as_of, rules, excluded_days=False)
+    j = _qualified_calls(inputs, as_of, rules, excluded_days=False) if joined is None else joined
     return (j.groupBy(month_key(F.col("time_of_call_start")).alias("month"),
                       F.col("resource_name").alias("username"))
              .agg(F.count_distinct("cuid").alias("connected_client")))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,10 +64,13 @@ def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target
         return _mart_columns(sinks.read_table(spark, paths[name]), part)
 
     c = F.col
-    k1("connect", lambda: connect.connected_calls(inputs, as_of, rules), "month_part", c("month"),
+    # M1 and M2 share one scan and agent join of the month's calls.
+    joined = connect.qualified_calls(inputs, as_of, rules).persist(StorageLevel.MEMORY_AND_DISK)
+    k1("connect", lambda: connect.connected_calls(inputs, as_of, rules, joined=joined), "month_part", c("month"),
        lambda v: v >= month1, keep=rules.keep_months)
-    k1("connect_client", lambda: connect.connected_clients(inputs, as_of, rules), "month_part", c("month"),
-       lambda v: v >= month1)
+    k1("connect_client", lambda: connect.connected_clients(inputs, as_of, rules, joined=joined), "month_part",
+       c("month"), lambda v: v >= month1)
+    joined.unpersist()
     k1("mobile_app", lambda: mobile.mobile_signups(inputs, as_of, rules), "month_part", c("sign_up_month"),
        lambda v: v >= month1)
     k1("sending_lead", lambda: lead.sending_lead(inputs, as_of, rules, days), "sign_day",
@@ -76,9 +80,13 @@ def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target
     k2("call_task", lambda: usage_calls.call_tasks(inputs, as_of, rules))
     # The manual backfill re-inserts the lost days every run: they are part of the
     # replaced window so reruns do not pile them up.
-    k1("push_usage_call", lambda: usage_calls.push_usage_calls(inputs, as_of, rules, tasks=table("call_task")),
+    # The window's outbound calls are read three times by M7: scan them once.
+    calls = usage_calls.outbound_calls(inputs, as_of, rules).persist(StorageLevel.MEMORY_AND_DISK)
+    k1("push_usage_call", lambda: usage_calls.push_usage_calls(inputs, as_of, rules, tasks=table("call_task"),
+                                                               calls=calls),
        "call_day", F.date_format("time_of_call_start", DAY),
        lambda v: v >= usage_day or gap[0] <= v < gap[1])
+    calls.unpersist()
     k2("push_usage", lambda: usage_bonus.push_usage(inputs, table("push_usage_call", "call_day"), as_of, rules))
     k2("usage_before_first_push",
        lambda: usage_bonus.usage_before_first_push(inputs, table("push_usage"), as_of, rules))
@@ -88,7 +96,9 @@ def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target
                                                            table("no_push_usage"), as_of, rules))
     k1("mc_contract", lambda: contract.mc_contracts(inputs, as_of, rules), "signed_month",
        month_key(c("signed_date")), lambda v: v >= month2)
-    k2("bnpl_usage_calls", lambda: usage_calls.push_usage_calls(inputs, as_of, rules, bnpl=True))
+    bnpl_calls = usage_calls.outbound_calls(inputs, as_of, rules, bnpl=True).persist(StorageLevel.MEMORY_AND_DISK)
+    k2("bnpl_usage_calls", lambda: usage_calls.push_usage_calls(inputs, as_of, rules, bnpl=True, calls=bnpl_calls))
+    bnpl_calls.unpersist()
     k2("bnpl_usage_bonus", lambda: usage_bonus.bnpl_usage_bonus(inputs, table("bnpl_usage_calls"), as_of, rules))
     # Card rows and BNPL rows replace the window in one write (K1 + K3 of the source).
     k1("camp_bonus", lambda: campaign.campaign_bonus(table("bonus_push_usage"), table("bnpl_usage_bonus"),

@@ -41,7 +41,17 @@ def _push_usage(inputs, calls: DataFrame, as_of, rules: R.Rules, bnpl: bool) ->
     else:
         t = "dtime_auth_transaction"
         txn = txn.where(F.col("code_card_transaction_group") == R.WITHDRAWAL)
-    txn = txn.select("skp_card_account", "name_card_acceptor", "amt_billing", t)
+    # Exact bounds for the scan, implied by the join condition: every window
+    # starts after a call of the table and ends at most 9 days (BNPL: 8 days)
+    # after the latest campaign start (first call). They are lazy scalar
+    # subqueries and reach the Parquet reader as pushed filters.
+    low = calls.select(F.min("time_of_call_start")).scalar()
+    if bnpl:
+        high = calls.select(F.max(plus_days(F.col("time_of_call_start"), rules.bnpl_window_days))).scalar()
+    else:
+        high = calls.select(F.max(plus_days(F.col("date_campaign_start"), rules.campaign_days + 1))).scalar()
+    txn = txn.where((F.col(t) > low) & (F.col(t) <= high)).select(
+        "skp_card_account", "name_card_acceptor", "amt_billing", t)
 
     # 1) withdrawals of each contact's contract in its window, collapsed and summed
     keyed = push.where(F.col("contract_code").isNotNull()).select(
@@ -128,8 +138,10 @@ def usage_before_first_push(inputs, push_usage_df: DataFrame, as_of,
     acc = contract_accounts(first, "contract_code", inputs["contract_dim"], inputs["card_account"])
     t = "dtime_auth_transaction"
     tc = F.col(t)
-    matched = card_transactions(acc, _withdrawals(inputs, t, rules.earliest_sign),
-                                (tc >= F.col("sign_date")) & (tc < F.col("time_of_call_start")))
+    # every window ends before a push of the table: an exact upper bound for the scan
+    latest_push = push_usage_df.select(F.max("time_of_call_start")).scalar()
+    txn = _withdrawals(inputs, t, rules.earliest_sign).where(tc < latest_push)
+    matched = card_transactions(acc, txn, (tc >= F.col("sign_date")) & (tc < F.col("time_of_call_start")))
     agg = usage_summary(matched, BF_KEYS, "amt_billing", t, "name_card_acceptor", rules.usage_cutover,
                         total=None)
     return agg.select("contract_code", "name_credit_status", "cuid", "apt_date", "apt_user", "apt_team",

@@ -87,9 +87,14 @@ def outbound_calls(inputs, as_of, rules: R.Rules = R.DEFAULT_RULES, bnpl: bool =
 
 
 def push_usage_calls(inputs, as_of, rules: R.Rules = R.DEFAULT_RULES, bnpl: bool = False,
-                     tasks: DataFrame | None = None) -> DataFrame:
-    """M7 (``bnpl=False``) / M14 (``bnpl=True``)."""
-    cvd = outbound_calls(inputs, as_of, rules, bnpl)
+                     tasks: DataFrame | None = None, calls: DataFrame | None = None) -> DataFrame:
+    """M7 (``bnpl=False``) / M14 (``bnpl=True``).
+
+    ``calls`` may pass ``outbound_calls(...)`` already computed (persisted by
+    the refresh): it is read three times below (task match, later calls and
+    earlier calls of the callback join).
+    """
+    cvd = outbound_calls(inputs, as_of, rules, bnpl) if calls is None else calls
     if tasks is None:
         tasks = call_tasks(inputs, as_of, rules, bnpl)
     tasks = tasks.select(F.col("il_communication_id").try_cast("bigint").alias("_task_id"), *TASK_COLS)
