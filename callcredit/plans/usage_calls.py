@@ -107,13 +107,18 @@ def push_usage_calls(inputs, as_of, rules: R.Rules = R.DEFAULT_RULES, bnpl: bool
         "il_communication_id", "call_id", "username", "skp_client", "code_call_list_type")
 
     # Callbacks: later agreed calls of the client before the 4th day after a task call.
-    prev = call_push.select(F.col("cuid").alias("p_cuid"), F.col("time_of_call_start").alias("p_ts"),
-                            F.col("il_communication_id").alias("p_comm_id"), *TASK_COLS)
+    # Only the earliest task call per (client, campaign, day) matters: a later call
+    # qualifies for that day exactly when it follows that call (the day's calls share
+    # the same 4-day limit). Pre-aggregating it bounds the join by campaigns, not calls.
+    prev = (call_push.groupBy(F.col("cuid").alias("p_cuid"),
+                              P.day_start(F.col("time_of_call_start")).alias("p_day"),
+                              F.col("il_communication_id").alias("p_comm_id"), *TASK_COLS)
+            .agg(F.min("time_of_call_start").alias("p_ts")))
     later = cvd.where(agreed)
-    ts, p_ts = F.col("time_of_call_start"), F.col("p_ts")
-    cond = (F.col("cuid") == F.col("p_cuid")) & (ts > p_ts) & (ts < P.next_days(p_ts, rules.callback_days))
-    cb = band_join(later, prev, cond, point=ts, low=p_ts,
-                   high=plus_days(P.day_start(p_ts), rules.callback_days - 1))
+    ts, p_day = F.col("time_of_call_start"), F.col("p_day")
+    cond = ((F.col("cuid") == F.col("p_cuid")) & (ts > F.col("p_ts"))
+            & (ts < plus_days(p_day, rules.callback_days)))
+    cb = band_join(later, prev, cond, point=ts, low=p_day, high=plus_days(p_day, rules.callback_days - 1))
     callbacks = cb.select(
         *TASK_COLS[:3], "time_of_call_start", "time_of_call_end", "durations",
         P.callback_label(F.col("il_communication_id"), F.col("call_list_gen")).alias("call_type"),
