@@ -119,3 +119,26 @@ def validity_overlaps(dim: DataFrame, key: str, valid_from: str, valid_to: str,
          .rowsBetween(Window.unboundedPreceding, -1))
     marked = dim.withColumn("previous_end", F.max(end).over(w))
     return marked.where(F.col("previous_end") > F.col(valid_from))
+
+
+def card_chain(df: DataFrame, contract_col: str, contract_dim: DataFrame, card_account: DataFrame,
+               txns: DataFrame, cond: Column, how: str = "inner", **bucket) -> DataFrame:
+    """Contract -> card account -> transaction, ``inner`` or ``left``.
+
+    With ``left`` every row of ``df`` survives (NULL transaction columns when
+    nothing matches) and ``cond`` stays in the ON clause, as in the source.
+    The transaction side is never broadcast. Day buckets apply to ``inner``
+    only (a preserved range side must not be expanded).
+    """
+    if how == "inner":
+        return card_transactions(contract_accounts(df, contract_col, contract_dim, card_account), txns, cond,
+                                 **bucket)
+    if how != "left" or bucket:
+        raise ValueError("card_chain supports how='inner' (optionally bucketed) or how='left'")
+    cd = contract_dim.select(F.col("skp_contract").alias("_cd_contract"), "text_contract_number")
+    ca = card_account.select("skp_card_account", F.col("skp_contract").alias("_acc_contract"))
+    t = txns.withColumnRenamed("skp_card_account", "_txn_account").hint("merge")
+    out = (df.join(cd, F.col(contract_col) == F.col("text_contract_number"), "left")
+             .join(ca, F.col("_cd_contract") == F.col("_acc_contract"), "left")
+             .join(t, (F.col("skp_card_account") == F.col("_txn_account")) & cond, "left"))
+    return out.drop("_cd_contract", "text_contract_number", "_acc_contract", "_txn_account")

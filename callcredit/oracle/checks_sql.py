@@ -79,6 +79,13 @@ LEFT JOIN card_account t3 ON t3.skp_contract = t2.skp_contract
 LEFT JOIN card_txn t4 ON t3.skp_card_account = t4.skp_card_account
  AND t4.code_card_transaction_group = 'WITHDRAWAL' AND t4.dtime_auth_transaction >= b.sign_date
 GROUP BY b.contract_code, b.sign_date"""),
+        "j12_card_withdrawals_left": _q("""
+SELECT b.contract_code, b.sign_date, t4.dtime_auth_transaction, t4.amt_billing
+FROM card_bonus b
+LEFT JOIN contract_dim t2 ON b.contract_code = t2.text_contract_number
+LEFT JOIN card_account t3 ON t3.skp_contract = t2.skp_contract
+LEFT JOIN card_txn t4 ON t3.skp_card_account = t4.skp_card_account
+ AND t4.code_card_transaction_group = 'WITHDRAWAL' AND t4.dtime_auth_transaction >= b.sign_date"""),
         "j16_contracts_without_usage": _q("""
 SELECT b.contract_code, b.cuid FROM card_bonus b
 WHERE NOT EXISTS (SELECT 1 FROM contract_dim t2

@@ -11,7 +11,8 @@ from ..functions import predicates as P
 from ..functions import rules as R
 from ..functions.dates import day_start, minus_minutes, month_key, month_start, plus_days
 from ..operators.aggregates import usage_summary
-from ..operators.joins import (band_join, card_transactions, contract_accounts, exclude_flagged, restrict_to,
+from ..operators.joins import (band_join, card_chain, card_transactions, contract_accounts, exclude_flagged,
+                               restrict_to,
                                validity_join, validity_overlaps)
 from ..operators.sets import union_all, union_distinct
 from ..operators.windows import earliest_per, latest_per, sequence_ids
@@ -271,3 +272,15 @@ def date_rules(inputs, as_of, rules) -> DataFrame:
 def agent_validity_overlaps(inputs, as_of, rules) -> DataFrame:
     """Q6: agent versions whose validity overlaps an earlier version."""
     return validity_overlaps(inputs["employee"], "username", "date_valid_from", "date_valid_to", as_of)
+
+
+def card_withdrawals_left(inputs, as_of, rules) -> DataFrame:
+    """J12 literal left chain: every card contract with each withdrawal after
+    signing (NULL when it has none)."""
+    cards = inputs["card_bonus"].select("contract_code", "sign_date")
+    t = F.col("dtime_auth_transaction")
+    txn = inputs["card_txn"].where(F.col("code_card_transaction_group") == R.WITHDRAWAL) \
+        .select("skp_card_account", "dtime_auth_transaction", "amt_billing")
+    j = card_chain(cards, "contract_code", inputs["contract_dim"], inputs["card_account"], txn,
+                   t >= F.col("sign_date"), how="left")
+    return j.select("contract_code", "sign_date", "dtime_auth_transaction", "amt_billing")

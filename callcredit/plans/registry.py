@@ -108,6 +108,7 @@ def queries() -> dict[str, Query]:
         "j10_callback_pairs": _mart(checks.callback_pairs),
         "j11_active_contracts": _mart(checks.active_contracts),
         "j12_withdrawal_counts": _mart(checks.withdrawal_counts),
+        "j12_card_withdrawals_left": _mart(checks.card_withdrawals_left),
         "j16_contracts_without_usage": _mart(checks.contracts_without_usage),
         "j17_roster_calls": _mart(checks.roster_calls),
         "w01_latest_call_per_client": _mart(checks.latest_call_per_client),
