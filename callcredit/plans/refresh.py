@@ -53,15 +53,24 @@ def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target
         fn()
         timings[name] = round(time.time() - t, 3)
 
+    schemas = {}
+
     def k1(name, build, part, expr, in_window, keep=()):
-        timed(name, lambda: sinks.replace_window(_with_part(build(), part, expr), path(name), part,
-                                                 in_window, keep))
+        def run():
+            df = _with_part(build(), part, expr)
+            schemas[name] = df.schema
+            sinks.replace_window(df, path(name), part, in_window, keep)
+        timed(name, run)
 
     def k2(name, build):
-        timed(name, lambda: sinks.full_refresh(build(), path(name)))
+        def run():
+            df = build()
+            schemas[name] = df.schema
+            sinks.full_refresh(df, path(name))
+        timed(name, run)
 
     def table(name, part=None):
-        return _mart_columns(sinks.read_table(spark, paths[name]), part)
+        return _mart_columns(sinks.read_table(spark, paths[name], schema=schemas[name]), part)
 
     c = F.col
     # M1 and M2 share one scan and agent join of the month's calls.

@@ -84,6 +84,9 @@ def append_rows(df: DataFrame, path: str, part_col: str | None = None) -> None:
     w.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, columns=None, schema=None) -> DataFrame:
+    """Read a mart; with ``schema`` an empty table (no rows written yet) reads
+    as an empty frame instead of failing schema inference."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     return df.select(*columns) if columns else df

@@ -53,3 +53,28 @@ def test_refresh_rerun_is_idempotent(spark):
     assert first == second
     assert len(paths) == 15
     assert sum(len(v) for v in first.values()) > 0
+
+
+def test_refresh_with_empty_windows(spark):
+    """A run whose windows hold no data writes empty marts that downstream reads accept."""
+    from callcredit.functions.dates import as_datetime
+    target = tempfile.mkdtemp(prefix="cc-empty-")
+    paths = refresh_all(spark, load_inputs(spark, SF_SMALL), as_datetime("2031-06-15 08:00:00"), target, TEST_RULES)
+    assert len(paths) == 15
+
+
+def test_refresh_later_keeps_rows_before_the_window(spark):
+    """Rows of K1 partitions before a later run's window never change."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    target = tempfile.mkdtemp(prefix="cc-later-")
+    inputs = load_inputs(spark, SF_SMALL)
+    paths = refresh_all(spark, inputs, TEST_AS_OF, target, TEST_RULES)
+    later = TEST_AS_OF + dt.timedelta(days=7)
+    kept = {}
+    for name, part, bound in (("sending_lead", "sign_day", "2024-01-31"), ("push_usage_call", "call_day", "2024-01-08")):
+        kept[name] = rows(sinks.read_table(spark, paths[name]).where(F.col(part).cast("string") < bound))
+    refresh_all(spark, inputs, later, target, TEST_RULES)
+    for name, part, bound in (("sending_lead", "sign_day", "2024-01-31"), ("push_usage_call", "call_day", "2024-01-08")):
+        assert rows(sinks.read_table(spark, paths[name]).where(F.col(part).cast("string") < bound)) == kept[name]
+    assert sum(len(v) for v in kept.values()) > 0
