@@ -19,7 +19,7 @@ from ..functions.dates import day_floor, month_key, month_text, months_back_star
 from ..sources import sinks
 from . import campaign, connect, contract, lead, mobile, usage_bonus, usage_calls
 
-# name -> (partition column expression, partition column name) for K1 marts
+# Day-partitioned K1 marts store the day as text in this format.
 DAY = "yyyy-MM-dd"
 
 

@@ -1,6 +1,5 @@
 """Column rules on hand-built edge rows."""
 
-import datetime as dt
 import decimal
 
 from pyspark.sql import functions as F
