@@ -43,3 +43,33 @@ def test_time_bounds_reach_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in p
     p = plan(QUERIES["m01_connected_calls"](spark, SF_SMALL))
     assert "GreaterThanOrEqual(ts,2023-12-01T00:00)" in p
+
+
+def _physical(df) -> str:
+    return plan(df).split("\n\n\n")[0]
+
+
+def test_transactions_are_never_broadcast(spark):
+    """The card-transaction fact table joins by shuffle (merge hint), even when small."""
+    for name in ("m08_push_usage", "m09_usage_before_first_push", "m10_unrewarded_contracts",
+                 "m15_bnpl_usage_bonus", "j12_card_withdrawals_left"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        details = p.split("\n\n\n", 1)[1]
+        # the lineitem scan (the transaction projection) never feeds a BroadcastExchange
+        for block in details.split("\n\n"):
+            if block.startswith("(") and "BroadcastExchange" in block.splitlines()[0]:
+                assert "l_orderkey" not in block and "l_partkey" not in block, (name, block)
+
+
+def test_fixed_width_bands_join_on_the_day(spark):
+    for name in ("m03_mobile_signups", "m07_push_usage_calls", "j05_signup_band", "j07_appointment_band",
+                 "j10_callback_pairs"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        assert "_day_bucket_p" in p and "_day_bucket_r" in p, name
+        assert "explode(CASE WHEN" in p and "sequence(" in p, name
+
+
+def test_sequence_ids_use_a_range_shuffle(spark):
+    p = plan(QUERIES["w07_contract_sequence"](spark, SF_SMALL))
+    assert "rangepartitioning" in p
+    assert "Window" in p  # only over the small per-slice counts
