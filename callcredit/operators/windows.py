@@ -87,11 +87,15 @@ def first_in_group(df: DataFrame, keys: list[str], col: str, name: str,
 
 
 def sequence_ids(df: DataFrame, keys: list[str], order: list[Column], name: str,
-                 slices: int | None = None) -> DataFrame:
+                 slices: int | None = None, few_groups: bool = True) -> DataFrame:
     """``row_number() over (partition by keys order by order)``, distributed.
 
     ``order`` must be a total order (append tie-breakers) so the numbering is
-    deterministic and a recomputed task reproduces it.
+    deterministic and a recomputed task reproduces it. The offsets table has
+    at most ``slices + groups`` rows (each slice holds a contiguous key range).
+    With ``few_groups`` (e.g. months) that is a proven small bound and it is
+    broadcast; otherwise it is joined normally, size-checked by the planner
+    and AQE.
     """
     spark = df.sparkSession
     # A fixed slice count: AQE never re-coalesces this shuffle, so the slice ids
@@ -111,7 +115,6 @@ def sequence_ids(df: DataFrame, keys: list[str], order: list[Column], name: str,
     cond = F.col("_slice") == F.col("_o_slice")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    # ``offsets`` has at most (slices x groups) rows: a proven bound, so broadcast.
-    joined = tagged.join(F.broadcast(offsets), cond, "inner")
+    joined = tagged.join(F.broadcast(offsets) if few_groups else offsets, cond, "inner")
     return (joined.withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int"))
                   .drop("_slice", "_pos", "_o_slice", "_offset", "_first", *[f"_o_{k}" for k in keys]))

@@ -126,3 +126,13 @@ def test_validity_overlaps(spark):
     got = validity_overlaps(dim, "username", "f", "e", T("2024-01-31 12:00"))
     # the end is inclusive by day: b's second version starts inside the first one
     assert rows(got, "username", "f") == [("b", T("2024-01-14")), ("c", T("2024-01-10"))]
+
+
+def test_sequence_ids_many_groups_without_broadcast(spark):
+    rnd = random.Random(3)
+    data = [(rnd.randrange(200), rnd.randrange(5), i) for i in range(2000)]
+    df = spark.createDataFrame(data, "g int, v int, id int")
+    order = [F.col("v").asc_nulls_last(), F.col("id").asc_nulls_last()]
+    got = sequence_ids(df, ["g"], order, "n", slices=5, few_groups=False)
+    exp = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert rows(got, "id", "n") == rows(exp, "id", "n")
