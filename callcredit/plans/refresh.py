@@ -31,6 +31,37 @@ def _mart_columns(df: DataFrame, part: str | None) -> DataFrame:
     return df.drop(part) if part else df
 
 
+def build_all(inputs: dict[str, DataFrame], as_of, rules: R.Rules = R.DEFAULT_RULES,
+              days: int | None = None) -> dict[str, DataFrame]:
+    """All fifteen marts as lazy DataFrames (no action, no write).
+
+    Downstream marts are composed from the upstream frames directly, so the
+    whole job is one logical plan per mart; ``refresh_all`` is the variant
+    that writes each mart and reads the written table downstream.
+    """
+    days = rules.attribution_days if days is None else days
+    out = {
+        "connect": connect.connected_calls(inputs, as_of, rules),
+        "connect_client": connect.connected_clients(inputs, as_of, rules),
+        "mobile_app": mobile.mobile_signups(inputs, as_of, rules),
+        "sending_lead": lead.sending_lead(inputs, as_of, rules, days),
+        "pushing_sign": lead.pushing_sign(inputs, as_of, rules, days),
+        "call_task": usage_calls.call_tasks(inputs, as_of, rules),
+        "mc_contract": contract.mc_contracts(inputs, as_of, rules),
+        "bnpl_usage_calls": usage_calls.push_usage_calls(inputs, as_of, rules, bnpl=True),
+    }
+    out["push_usage_call"] = usage_calls.push_usage_calls(inputs, as_of, rules, tasks=out["call_task"])
+    out["push_usage"] = usage_bonus.push_usage(inputs, out["push_usage_call"], as_of, rules)
+    out["usage_before_first_push"] = usage_bonus.usage_before_first_push(inputs, out["push_usage"], as_of, rules)
+    out["no_push_usage"] = usage_bonus.unrewarded_contracts(inputs, out["push_usage"],
+                                                            out["usage_before_first_push"], as_of, rules)
+    out["bonus_push_usage"] = usage_bonus.usage_bonus(out["push_usage"], out["usage_before_first_push"],
+                                                      out["no_push_usage"], as_of, rules)
+    out["bnpl_usage_bonus"] = usage_bonus.bnpl_usage_bonus(inputs, out["bnpl_usage_calls"], as_of, rules)
+    out["camp_bonus"] = campaign.campaign_bonus(out["bonus_push_usage"], out["bnpl_usage_bonus"], as_of, rules)
+    return out
+
+
 def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target: str,
                 rules: R.Rules = R.DEFAULT_RULES, days: int | None = None,
                 timings: dict | None = None) -> dict[str, str]:

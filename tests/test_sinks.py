@@ -78,3 +78,12 @@ def test_refresh_later_keeps_rows_before_the_window(spark):
     for name, part, bound in (("sending_lead", "sign_day", "2024-01-31"), ("push_usage_call", "call_day", "2024-01-08")):
         assert rows(sinks.read_table(spark, paths[name]).where(F.col(part).cast("string") < bound)) == kept[name]
     assert sum(len(v) for v in kept.values()) > 0
+
+
+def test_build_all_is_lazy_and_equals_the_registry(spark):
+    import __spark_entry__ as E
+    from callcredit.plans.refresh import build_all
+    frames = build_all(load_inputs(spark, SF_SMALL), TEST_AS_OF, TEST_RULES)
+    assert len(frames) == 15
+    assert rows(frames["push_usage"]) == rows(E.queries()["m08_push_usage"](spark, SF_SMALL))
+    assert rows(frames["mc_contract"]) == rows(E.queries()["m13_mc_contracts"](spark, SF_SMALL))
