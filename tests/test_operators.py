@@ -136,3 +136,40 @@ def test_sequence_ids_many_groups_without_broadcast(spark):
     got = sequence_ids(df, ["g"], order, "n", slices=5, few_groups=False)
     exp = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert rows(got, "id", "n") == rows(exp, "id", "n")
+
+
+def test_bucketed_band_join_random_intervals(spark):
+    """Bucketed == plain for arbitrary intervals: widths 0-10 days, midnight
+    bounds, inverted and NULL intervals, inner and left (points preserved)."""
+    rnd = random.Random(17)
+
+    def ts():
+        if rnd.random() < 0.15:
+            return BASE + dt.timedelta(days=rnd.randrange(15))          # exactly midnight
+        return BASE + dt.timedelta(seconds=rnd.randrange(15 * 86400))
+
+    pts = [(rnd.randrange(4), ts(), i) for i in range(300)]
+    rngs = []
+    for j in range(80):
+        lo = ts()
+        hi = lo + dt.timedelta(seconds=rnd.randrange(-86400, 10 * 86400))
+        rngs.append((rnd.randrange(4), None if j % 17 == 0 else lo, hi, j))
+    p = spark.createDataFrame(pts, "k int, t timestamp_ntz, id int")
+    r = spark.createDataFrame(rngs, "rk int, lo timestamp_ntz, hi timestamp_ntz, rid int")
+    t, lo, hi = F.col("t"), F.col("lo"), F.col("hi")
+    cond = (F.col("k") == F.col("rk")) & (t >= lo) & (t <= hi)
+    for how in ("inner", "left"):
+        plain = band_join(p, r, cond, how)
+        bucketed = band_join(p, r, cond, how, point=t, low=lo, high=hi)
+        assert rows(plain, "id", "rid") == rows(bucketed, "id", "rid"), how
+
+
+def test_sequence_ids_with_one_hot_group(spark):
+    rnd = random.Random(5)
+    data = [("2024-01" if rnd.random() < 0.9 else rnd.choice(["2023-12", "2024-02"]), rnd.randrange(50), i)
+            for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, v int, id int")
+    order = [F.col("v").asc_nulls_last(), F.col("id").asc_nulls_last()]
+    got = sequence_ids(df, ["g"], order, "n", slices=8)
+    exp = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert rows(got, "id", "n") == rows(exp, "id", "n")
