@@ -62,6 +62,16 @@ SELECT t2.call_id AS first_call_id, t1.call_id AS later_call_id
 FROM call_disp t1 JOIN call_disp t2 ON t1.cuid = t2.cuid
  AND t1.time_of_call_start > t2.time_of_call_start
  AND t1.time_of_call_start < date_trunc('day', t2.time_of_call_start) + INTERVAL 4 DAY"""),
+        "j10_callback_days": _q("""
+SELECT t1.call_id AS later_call_id, f.d AS callback_day, f.first_call_id
+FROM call_disp t1
+JOIN (SELECT cuid, d, time_of_call_start AS p_ts, call_id AS first_call_id FROM (
+        SELECT cuid, date_trunc('day', time_of_call_start) AS d, time_of_call_start, call_id,
+               row_number() OVER (PARTITION BY cuid, date_trunc('day', time_of_call_start)
+                                  ORDER BY time_of_call_start ASC NULLS FIRST, call_id ASC NULLS FIRST) AS rn
+        FROM call_disp) x WHERE rn = 1) f
+  ON t1.cuid = f.cuid AND t1.time_of_call_start > f.p_ts
+ AND t1.time_of_call_start < f.d + INTERVAL 4 DAY"""),
         "j11_active_contracts": _q("""
 SELECT c.call_id, t.contract_code
 FROM call_disp c LEFT JOIN (

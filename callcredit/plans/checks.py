@@ -284,3 +284,23 @@ def card_withdrawals_left(inputs, as_of, rules) -> DataFrame:
     j = card_chain(cards, "contract_code", inputs["contract_dim"], inputs["card_account"], txn,
                    t >= F.col("sign_date"), how="left")
     return j.select("contract_code", "sign_date", "dtime_auth_transaction", "amt_billing")
+
+
+def callback_days(inputs, as_of, rules) -> DataFrame:
+    """J10 in the bounded form used by M7: for each call, every earlier day of
+    the same client (within the 4-day band) with the first call of that day.
+
+    The earlier side is one row per (client, day), so the output is at most
+    four rows per call however busy a client is.
+    """
+    c = inputs["call_disp"]
+    ts = F.col("time_of_call_start")
+    first = (c.groupBy(F.col("cuid").alias("p_cuid"), day_start(ts).alias("p_day"))
+              .agg(F.min(F.struct("time_of_call_start", "call_id")).alias("_f")))
+    first = first.select("p_cuid", "p_day", F.col("_f.time_of_call_start").alias("p_ts"),
+                         F.col("_f.call_id").alias("first_call_id"))
+    later = c.select(F.col("call_id").alias("later_call_id"), "cuid", "time_of_call_start")
+    p_day = F.col("p_day")
+    cond = (F.col("cuid") == F.col("p_cuid")) & (ts > F.col("p_ts")) & (ts < plus_days(p_day, 4))
+    j = band_join(later, first, cond, point=ts, low=p_day, high=plus_days(p_day, 3))
+    return j.select("later_call_id", p_day.alias("callback_day"), "first_call_id")

@@ -106,6 +106,7 @@ def queries() -> dict[str, Query]:
         "j07_appointment_band": _mart(checks.appointment_band),
         "j09_approval_band": _mart(checks.approval_band),
         "j10_callback_pairs": _mart(checks.callback_pairs),
+        "j10_callback_days": _mart(checks.callback_days),
         "j11_active_contracts": _mart(checks.active_contracts),
         "j12_withdrawal_counts": _mart(checks.withdrawal_counts),
         "j12_card_withdrawals_left": _mart(checks.card_withdrawals_left),
