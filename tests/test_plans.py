@@ -63,7 +63,7 @@ def test_transactions_are_never_broadcast(spark):
 
 def test_fixed_width_bands_join_on_the_day(spark):
     for name in ("m03_mobile_signups", "m07_push_usage_calls", "j05_signup_band", "j07_appointment_band",
-                 "j10_callback_pairs"):
+                 "j10_callback_pairs", "j10_callback_days"):
         p = plan(QUERIES[name](spark, SF_SMALL))
         assert "_day_bucket_p" in p and "_day_bucket_r" in p, name
         assert "explode(CASE WHEN" in p and "sequence(" in p, name
