@@ -4,14 +4,15 @@ import pytest
 
 import __spark_entry__ as E
 from callcredit.oracle.compare import compare
+from callcredit.plans import registry
 from tests.conftest import SF_ORACLE
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
-def test_every_query_has_an_oracle():
-    missing = sorted(set(QUERIES) - set(ORACLE))
+def test_every_library_query_has_an_oracle():
+    missing = sorted(set(registry.queries()) - set(registry.oracle_sql()))
     assert missing == [], f"queries without oracle SQL: {missing}"
 
 
