@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callcredit.llm import sharding
+from callcredit.llm import licences, mixing, sharding
 
-MODULES = (sharding,)
+MODULES = (sharding, mixing, licences)
 
 
 def queries() -> dict:
