@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callcredit.llm import licences, mixing, sharding
+from callcredit.llm import host_rules, licences, mixing, sharding
 
-MODULES = (sharding, mixing, licences)
+MODULES = (sharding, mixing, licences, host_rules)
 
 
 def queries() -> dict:
