@@ -5,9 +5,11 @@ and templates are lower-cased, and all but letters and digits becomes one
 space. A unit with a bigrams and a template with b, counted with repeats, share
 c bigrams, each as often as the side with fewer has it; the template matches
 when 200 * c >= percent * (a + b). Since c <= min(a, b), a template can only
-match units with b * t / (2 - t) to b * (2 - t) / t bigrams (t = percent / 100).
-Words are counted first, and only units within some template's bounds are
-normalised and compared, with the templates within whose bounds they are.
+match units with b * t / (2 - t) to b * (2 - t) / t bigrams (t = percent / 100),
+and at least a * t / (2 - t) of a unit's bigrams must be the template's. Words
+are counted first; only units within some template's bounds are normalised, and
+only those with enough bigrams of any template are compared, with the templates
+within whose bounds they are.
 
 Rows are independent: no shuffle, and templates are literals whose number the
 caller sets. Defined results: null, empty and wordless texts match nothing; of
@@ -84,6 +86,7 @@ def scan_licences(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT,
     match, and all licences found, by name, joined by commas."""
     known = _template_array(templates, percent)
     names = F.array(*[F.lit(n) for n, _ in templates])
+    vocabulary = sorted({g for _, t in templates for g in _bigrams(t)})
     ranges = sorted({size_bounds(len(_bigrams(t)), percent) for _, t in templates})
 
     def comparable(u: Column) -> Column:
@@ -96,6 +99,9 @@ def scan_licences(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT,
         return F.struct(
             F.filter(F.split(F.regexp_replace(F.lower(u["text"]), GAP, " "), " "), lambda w: w != "").alias("w"))
 
+    def known_enough(u: Column) -> Column:
+        return F.size(F.filter(u["grams"], lambda g: g.isin(vocabulary))) * (200 - percent) >= u["a"] * percent
+
     def match(u: Column, t: Column) -> Column:
         shared = F.aggregate(
             t["grams"], F.lit(0), lambda total, g: total + F.least(g["k"], F.size(F.filter(u["grams"], lambda x: x == g["g"]))))
@@ -115,7 +121,7 @@ def scan_licences(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT,
         .withColumn("_units", F.transform("_units", unit_grams))
         .withColumn("_units", F.transform("_units", lambda u: F.transform(
             F.sequence(F.lit(1), F.size(u["w"]) - 1), lambda i: F.concat_ws(" ", F.element_at(u["w"], i), F.element_at(u["w"], i + 1)))))
-        .withColumn("_units", F.transform("_units", lambda g: F.struct(g.alias("grams"), F.size(g).alias("a"))))
+        .withColumn("_units", F.filter(F.transform("_units", lambda g: F.struct(g.alias("grams"), F.size(g).alias("a"))), known_enough))
         .withColumn("_hits", F.filter(F.transform("_units", matches), lambda m: m.isNotNull()))
         .withColumn("_best", F.array_max("_hits")))
     name = lambda m: F.element_at(names, 1 - m["order"])
