@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callcredit.llm import host_rules, licences, mixing, sharding
+from callcredit.llm import bpe, host_rules, licences, mixing, sharding
 
-MODULES = (sharding, mixing, licences, host_rules)
+MODULES = (sharding, mixing, licences, host_rules, bpe)
 
 
 def queries() -> dict:
