@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callcredit.llm import bpe, host_rules, licences, mixing, sharding
+from callcredit.llm import bpe, host_rules, licences, mixing, sharding, toxicity
 
-MODULES = (sharding, mixing, licences, host_rules, bpe)
+MODULES = (sharding, mixing, licences, host_rules, bpe, toxicity)
 
 
 def queries() -> dict:
