@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from callcredit.session import ensure_checkpoint_dir
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
+ROWS_PER_BATCH = 500
 HASH_SPARE = 13
 MAX_TABLE_BUCKETS = 50_000
 
@@ -51,9 +52,10 @@ def text_key(column):
 def _new_of_task(batches):
     seen: set[str] = set()
     for batch in batches:
-        keys = batch.column("key").to_pylist()
-        fresh = [k not in seen and not seen.add(k) for k in keys]
-        yield batch.filter(pa.array(fresh, pa.bool_()))
+        for at in range(0, batch.num_rows, ROWS_PER_BATCH):
+            part = batch.slice(at, ROWS_PER_BATCH)
+            fresh = [k not in seen and not seen.add(k) for k in part.column("key").to_pylist()]
+            yield part.filter(pa.array(fresh, pa.bool_()))
 
 
 def store_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Corpus:
