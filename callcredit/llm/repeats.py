@@ -20,9 +20,11 @@ of their names, others stay.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callcredit.llm.exchange import (
@@ -151,10 +153,11 @@ def _cut_piece(words: Words, known: np.ndarray, window: int, out: dict[str, list
         out["kept"].append(line[ends[kept_before[a]]:max(int(ends[kept_before[a]]), int(ends[kept_before[b]]) - 1)])
 
 
-def removal(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def removal(docs: DataFrame, window: int = WINDOW, of_kept: Callable[[Column], Column] = lambda c: c) -> tuple[DataFrame, DataFrame]:
     """``docs`` with their text key (``_key``), and per key the words removed
-    and kept; a text that two rows have loses everything if it has a window."""
-    found = repeated_spans(store_texts(docs), window)
+    and ``of_kept(kept text)``; a text that two rows have loses everything if
+    it has a window."""
+    found = repeated_spans(store_texts(docs), window).withColumn("kept", of_kept(F.col("kept")))
     keyed = docs.withColumn("_key", text_key(F.col("text")))
     twice = keyed.groupBy("_key").agg(F.count("*").alias("_copies"))
     all_gone = (F.col("_copies") > 1) & (F.col("n_words") >= window)
@@ -162,14 +165,14 @@ def removal(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
         "_key", "n_words",
         F.when(all_gone, F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
         F.when(all_gone, F.array(F.array(F.lit(0).cast("long"), F.col("n_words")))).otherwise(F.col("spans")).alias("spans"),
-        F.when(all_gone, F.lit("")).otherwise(F.col("kept")).alias("kept"))
+        F.when(all_gone, of_kept(F.lit(""))).otherwise(F.col("kept")).alias("kept"))
     return keyed, results
 
 
 def op8_block_anchors(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed, results = removal(docs)
-    digests = results.select("_key", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    keyed, results = removal(docs, of_kept=lambda c: F.sha2(c, 256))
+    digests = results.select("_key", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
     return keyed.select("doc_id", "_key").join(digests, "_key").drop("_key")
 
 
