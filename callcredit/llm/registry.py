@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callcredit.llm import bpe, host_rules, licences, mixing, repeats, sharding, toxicity
+from callcredit.llm import bpe, host_rules, licences, mixing, ngram_join, repeats, sharding, toxicity
 
-MODULES = (sharding, mixing, licences, host_rules, bpe, toxicity, repeats)
+MODULES = (sharding, mixing, licences, host_rules, bpe, toxicity, repeats, ngram_join)
 
 
 def queries() -> dict:
