@@ -11,7 +11,8 @@ is discarded before its cells are formed:
 * A row keeps the columns of a prefix, from its rarest shingle on, so long that
   linked rows share one (Chaudhuri, Ganti and Kaushik, 2006).
 * Two rows of sizes a and b whose shingles shared with anyone number s and t
-  overlap in min(s, t) at most, which must reach the bound for a and b.
+  overlap in min(s, t) at most, which must reach the bound for a and b. The
+  same holds for the sum of these minima over CLASSES classes of shingles.
 
 Within a column, rows are first multiplied with the most central one only (the
 one with the fewest shingles of its own); what links is joined to components.
@@ -43,6 +44,7 @@ from callcredit.llm.words import Words, mixed, pieces
 
 SHINGLE = 5
 PERCENT = 80
+CLASSES = 64
 
 
 def _shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,9 +72,10 @@ def _sent(table: pa.Table, bits: int, n: int) -> np.ndarray:
 
 def _rows(table: pa.Table, known: np.ndarray, bits: int, n: int, percent: int) -> pa.Table:
     """Of each text its size; of texts that can have links also the shared
-    shingles' number, the set, and the shared part of the prefix."""
+    shingles' number, in all and by class, the set, and the shared part of the
+    prefix."""
     keys = table.column("key").to_pylist() if table.num_rows else []
-    size, shared, sets, prefixes = [], [], [], []
+    size, shared, sets, prefixes, classes = [], [], [], [], []
     for _, _, words in pieces(_column(table), lower=True) if table.num_rows else ():
         row, hashes = _shingles(words, n)
         level = level_of(short(hashes, bits), known)
@@ -86,28 +89,30 @@ def _rows(table: pa.Table, known: np.ndarray, bits: int, n: int, percent: int) -
             if not many or kept * 100 < many * percent:
                 sets.append(None)
                 prefixes.append(None)
+                classes.append(None)
                 continue
             own, rank = hashes[a:b].view(np.int64), level[a:b]
             order = np.lexsort((own, rank))
             long = many - -(-percent * many // 100) + 1
             sets.append(own)
             prefixes.append(own[order[many - kept:long]])
+            classes.append(np.bincount(own[rank >= 0] & (CLASSES - 1), minlength=CLASSES).astype(np.int32))
     longs = pa.list_(pa.int64())
     return pa.table({"key": pa.array(keys, pa.string()), "size": pa.array(size, pa.int64()), "shared": pa.array(shared, pa.int64()),
-                     "set": pa.array(sets, longs), "prefix": pa.array(prefixes, longs)})
+                     "set": pa.array(sets, longs), "prefix": pa.array(prefixes, longs), "classes": pa.array(classes, pa.list_(pa.int32()))})
 
 
 def shingle_rows(corpus: Corpus, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(key, size, shared, set, prefix) of every stored text."""
+    """(key, size, shared, set, prefix, classes) of every stored text."""
     bits = corpus.bits
     known = ask(corpus, lambda t: _sent(t, bits, n), lambda times, flagged: times > 1)
     return with_answers(corpus, known, lambda t, k: _rows(t, k, bits, n, percent),
-                        "key string, size long, shared long, set array<long>, prefix array<long>")
+                        "key string, size long, shared long, set array<long>, prefix array<long>, classes array<int>")
 
 
-def _can_overlap(x: str, y: str, percent: int) -> Column:
-    """The bound on rows x and y by their sizes and shared shingles."""
-    most = F.least(F.col(f"{x}.shared"), F.col(f"{y}.shared"))
+def _can_overlap(x: str, y: str, percent: int, most: Column | None = None) -> Column:
+    """The bound on rows x and y by their sizes and the most they may share."""
+    most = F.least(F.col(f"{x}.shared"), F.col(f"{y}.shared")) if most is None else most
     return most * 100 >= (F.col(f"{x}.size") + F.col(f"{y}.size") - most) * percent
 
 
@@ -138,16 +143,17 @@ def _cross_pairs(cells: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     counts = cells.groupBy("column", "component").agg(F.count("*").alias("n"))
     largest = counts.groupBy("column").agg(F.max(F.struct("n", "component")).alias("l"), F.count("*").alias("k")).where("k > 1") \
         .select("column", F.col("l.component").alias("largest"))
-    mixed_cells = cells.join(largest, "column").join(rows.select("key", "prefix"), "key")
-    me = F.struct("key", "size", "shared", "component", "prefix")
+    mixed_cells = cells.join(largest, "column").join(rows.select("key", "prefix", "classes"), "key")
+    me = F.struct("key", "size", "shared", "component", "prefix", "classes")
     few = mixed_cells.where(F.col("component") != F.col("largest")).select("column", "largest", me.alias("x"))
     every = mixed_cells.select("column", me.alias("y"))
     together = F.array_intersect("x.prefix", "y.prefix")
     once = (F.col("y.component") == F.col("largest")) | (F.col("x.key") < F.col("y.key"))
+    by_class = F.aggregate(F.zip_with("x.classes", "y.classes", lambda m, n: F.least(m, n)), F.lit(0), lambda total, n: total + n)
     return (
         few.join(every, "column")
         .where((F.col("x.component") != F.col("y.component")) & once & _can_overlap("x", "y", percent)
-               & (F.array_min(together) == F.col("column")))
+               & (F.array_min(together) == F.col("column")) & _can_overlap("x", "y", percent, by_class))
         .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
 
 
@@ -155,7 +161,7 @@ def linked_components(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(key, component) of stored texts that have links; component is a key."""
     sets = rows.where("set is not null").withColumn("same", F.sha2(F.array_join(F.col("set").cast("array<string>"), ","), 256))
     equal = sets.groupBy("same").agg(F.min("key").alias("first"))
-    placed = staged(sets.join(equal, "same").select("key", "first", "size", "shared", "set", "prefix"))
+    placed = staged(sets.join(equal, "same").select("key", "first", "size", "shared", "set", "prefix", "classes"))
     apart = placed.where("key = first")
     cells = apart.select("key", "size", "shared", F.explode("prefix").alias("column"))
     links = staged(_linked(_central_pairs(cells, percent), apart, percent))
