@@ -60,18 +60,31 @@ def _new_of_task(batches):
 
 def store_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Corpus:
     """The distinct texts of ``docs``, as a bucketed table in the shared folder."""
-    spark = docs.sparkSession
-    total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    chunks = max(1, math.ceil(total / chunk_bytes))
-    buckets = min(chunks, MAX_TABLE_BUCKETS)
+    chunks, bits = _chunking(docs, chunk_bytes)
     keyed = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(
         F.pmod(F.xxhash64("text"), F.lit(chunks).cast("long")).cast("int").alias("chunk"), F.md5("text").alias("key"), "text")
-    name = f"texts_{uuid.uuid4().hex}"
-    (keyed.mapInArrow(_new_of_task, keyed.schema).repartition(buckets, "chunk").distinct()
-     .write.bucketBy(buckets, "chunk").option("compression", "zstd").option("path", f"{ensure_checkpoint_dir(spark)}/{name}")
-     .saveAsTable(name))
+    return Corpus(stored(keyed.mapInArrow(_new_of_task, keyed.schema), "chunk", chunks, lambda df: df.distinct()), chunks, bits)
+
+
+def store_rows(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Corpus:
+    """The rows of ``docs`` (with a text column) dealt evenly to chunks."""
+    chunks, bits = _chunking(docs, chunk_bytes)
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks).cast("long")).cast("int")
+    return Corpus(stored(docs.select(dealt.alias("chunk"), *docs.columns), "chunk", chunks), chunks, bits)
+
+
+def _chunking(docs: DataFrame, chunk_bytes: int) -> tuple[int, int]:
+    total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     # A word takes two bytes at least, with the space behind it.
-    return Corpus(spark.read.table(name), chunks, min(58, max(1, math.ceil(math.log2(total + 2)) - 1) + HASH_SPARE))
+    return max(1, math.ceil(total / chunk_bytes)), min(58, max(1, math.ceil(math.log2(total + 2)) - 1) + HASH_SPARE)
+
+
+def stored(rows: DataFrame, key: str, values: int, then: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``rows`` as a table bucketed by ``key``, in the shared folder."""
+    spark, name, buckets = rows.sparkSession, f"{key}_{uuid.uuid4().hex}", min(values, MAX_TABLE_BUCKETS)
+    (then(rows.repartition(buckets, key)).write.bucketBy(buckets, key).option("compression", "zstd")
+     .option("path", f"{ensure_checkpoint_dir(spark)}/{name}").saveAsTable(name))
+    return spark.read.table(name)
 
 
 def pack(values: np.ndarray) -> bytes:
