@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callcredit.llm.exchange import CHUNK_BYTES, Corpus, pack, store_rows, stored, unpack
+from callcredit.llm.exchange import CHUNK_BYTES, Corpus, Places, pack, store_rows, stored, unpack
 from callcredit.llm.repeats import _column
 from callcredit.llm.storage import documents, staged
 from callcredit.llm.words import Words, mixed, pieces
@@ -275,13 +275,13 @@ def _priced(keys: np.ndarray, n: np.ndarray, top: dict[str, np.ndarray], depth:
 def _score(table: pa.Table, replies: pa.Table, depth: int, n_tokens: int, vocabulary: int, ends: int) -> pa.Table:
     kinds = np.array(replies.column("kind").to_pylist(), object)
 
-    def of(kind: str) -> tuple[np.ndarray, np.ndarray]:
+    def of(kind: str) -> tuple[Places, np.ndarray]:
         at = np.flatnonzero(kinds == kind)
         keys = [unpack(replies.column("keys")[int(i)].as_py()) for i in at]
         numbers = [np.frombuffer(replies.column("numbers")[int(i)].as_py(), NUMBER[kind]).astype(np.float64) for i in at]
         keys, numbers = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0), *numbers])
         order = np.argsort(keys)
-        return keys[order], numbers[order]
+        return Places(keys[order]), numbers[order]
 
     grams, prices = of(GRAMS)
     vocab, counts = of(WORDS)
@@ -289,11 +289,11 @@ def _score(table: pa.Table, replies: pa.Table, depth: int, n_tokens: int, vocabu
     out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
     for _, _, words in pieces(_column(table), lower=True) if table.num_rows else ():
         values, row, row_bytes = _stream(words, depth)
-        c = counts[np.searchsorted(vocab, _word_keys(words))]
+        c = counts[vocab.of(_word_keys(words))] if len(counts) else np.zeros(0)
         out["n_tokens"].append(words.count + 1)
         out["n_known"].append(np.bincount(words.row, c > 0, words.rows).astype(np.int64) + (ends > 0))
         out["base_score"].append(np.bincount(words.row, np.log10((c + 0.5) / below), words.rows) + math.log10((ends + 0.5) / below))
-        out["score"].append(np.bincount(row, prices[np.searchsorted(grams, values)], words.rows))
+        out["score"].append(np.bincount(row, prices[grams.of(values)], words.rows))
         out["n_bytes"].append(row_bytes)
     joined = {k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}
     longs = ("n_tokens", "n_known", "n_bytes")

@@ -169,24 +169,24 @@ def ask(corpus: Corpus, hashes: Callable[[pa.Table], np.ndarray], rule: Callable
     return answers(corpus.texts.groupBy("chunk").applyInArrow(run, SENT), rule)
 
 
-def ask_again(corpus: Corpus, known: DataFrame, hashes: Callable[[pa.Table, np.ndarray], np.ndarray], rule: Callable) -> DataFrame:
+def ask_again(corpus: Corpus, known: DataFrame, hashes: Callable[[pa.Table, Answers], np.ndarray], rule: Callable) -> DataFrame:
     """As ``ask``, with hashes that depend on earlier answers."""
     bits, buckets = corpus.bits, corpus.chunks
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return _send(0, np.zeros(0, np.uint64), bits, buckets)
-        return _send(texts.column("chunk")[0].as_py(), hashes(texts, received(known)), bits, buckets)
+        return _send(texts.column("chunk")[0].as_py(), hashes(texts, Answers(received(known))), bits, buckets)
 
     sent = corpus.texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, SENT)
     return answers(sent, rule)
 
 
-def with_answers(corpus: Corpus, known: DataFrame, rows: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+def with_answers(corpus: Corpus, known: DataFrame, rows: Callable[[pa.Table, Answers], pa.Table], schema: str) -> DataFrame:
     """``rows(texts of a chunk, its answers)`` of every chunk."""
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        return rows(texts, received(known))
+        return rows(texts, Answers(received(known)))
 
     return corpus.texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)
 
@@ -198,11 +198,36 @@ def received(known: pa.Table) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.uint64), *[unpack(blobs[int(i)].as_py()) for i in order]])
 
 
-def level_of(keys: np.ndarray, answers: np.ndarray) -> np.ndarray:
-    """log2 of the times each key was seen, -1 for keys without an answer."""
-    if not len(answers):
-        return np.full(len(keys), -1)
-    place = np.searchsorted(answers, keys << np.uint64(4))
-    place[place == len(answers)] = 0
-    found = answers[place]
-    return np.where(found >> np.uint64(4) == keys, (found & np.uint64(15)).astype(np.int64), -1)
+class Places:
+    """Finds values among sorted distinct keys: one look into a hash table that
+    keeps one key a slot, then a binary search for those not met there."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.bits = keys, (4 * len(keys) + 256).bit_length()
+        self.slot = np.zeros(1 << self.bits, np.int32)
+        self.slot[self._hash(keys)] = np.arange(len(keys), dtype=np.int32)
+
+    def _hash(self, values: np.ndarray) -> np.ndarray:
+        return (values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
+
+    def of(self, values: np.ndarray) -> np.ndarray:
+        """Places of the values; of a value that isn't a key, any place."""
+        at = self.slot[self._hash(values)]
+        missed = np.flatnonzero(self.keys[at] != values)
+        at[missed] = np.minimum(np.searchsorted(self.keys, values[missed]), len(self.keys) - 1)
+        return at
+
+
+class Answers:
+    """A chunk's answers, for ``level_of``."""
+
+    def __init__(self, values: np.ndarray):
+        self.level = (values & np.uint64(15)).astype(np.int8)
+        self.places = Places(values >> np.uint64(4)) if len(values) else None
+
+    def level_of(self, keys: np.ndarray) -> np.ndarray:
+        """log2 of the times each key was seen, -1 for keys without an answer."""
+        if self.places is None:
+            return np.full(len(keys), -1, np.int8)
+        at = self.places.of(keys)
+        return np.where(self.places.keys[at] == keys, self.level[at], np.int8(-1))

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callcredit.llm.components import components
-from callcredit.llm.exchange import Corpus, ask, distinct_flagged, level_of, short, store_texts, text_key, with_answers
+from callcredit.llm.exchange import Answers, Corpus, ask, distinct_flagged, short, store_texts, text_key, with_answers
 from callcredit.llm.repeats import _column
 from callcredit.llm.storage import documents, staged
 from callcredit.llm.words import Words, mixed, pieces
@@ -70,7 +70,7 @@ def _sent(table: pa.Table, bits: int, n: int) -> np.ndarray:
     return distinct_flagged(np.concatenate([np.zeros(0, np.uint64), *found]))
 
 
-def _rows(table: pa.Table, known: np.ndarray, bits: int, n: int, percent: int) -> pa.Table:
+def _rows(table: pa.Table, known: Answers, bits: int, n: int, percent: int) -> pa.Table:
     """Of each text its size; of texts that can have links also the shared
     shingles' number, in all and by class, the set, and the shared part of the
     prefix."""
@@ -78,7 +78,7 @@ def _rows(table: pa.Table, known: np.ndarray, bits: int, n: int, percent: int) -
     size, shared, sets, prefixes, classes = [], [], [], [], []
     for _, _, words in pieces(_column(table), lower=True) if table.num_rows else ():
         row, hashes = _shingles(words, n)
-        level = level_of(short(hashes, bits), known)
+        level = known.level_of(short(hashes, bits))
         first = np.searchsorted(row, np.arange(words.rows + 1))
         common = np.append(0, np.cumsum(level >= 0))
         for r in range(words.rows):

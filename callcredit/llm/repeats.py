@@ -28,11 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callcredit.llm.exchange import (
+    Answers,
     Corpus,
     ask,
     ask_again,
     distinct_flagged,
-    level_of,
     short,
     store_texts,
     text_key,
@@ -77,11 +77,11 @@ def _probes(table: pa.Table, bits: int, block: int) -> np.ndarray:
     return distinct_flagged(short(keys, bits), (at - words.first[words.row[at]]) % block == 0)
 
 
-def _candidates(words: _Hashed, hits: np.ndarray, bits: int, window: int, block: int) -> tuple[np.ndarray, np.ndarray]:
+def _candidates(words: _Hashed, hits: Answers, bits: int, window: int, block: int) -> tuple[np.ndarray, np.ndarray]:
     """Full hashes and first words of the windows that hold a hit."""
     keys, at = words.windows(block)
     hit = np.zeros(len(words.hash) + 1, np.int64)
-    hit[at[level_of(short(keys, bits), hits) >= 0]] = 1
+    hit[at[hits.level_of(short(keys, bits)) >= 0]] = 1
     before = np.append(0, np.cumsum(hit))
     keys, at = words.windows(window)
     near = before[at + window - block + 1] > before[at]
@@ -103,13 +103,13 @@ def repeated_spans(corpus: Corpus, window: int = WINDOW) -> DataFrame:
     full = Corpus(corpus.texts, corpus.chunks, FULL_BITS)
     hits = ask(corpus, lambda t: _probes(t, bits, block), _block_seen_twice)
 
-    def exact(table: pa.Table, known: np.ndarray) -> np.ndarray:
+    def exact(table: pa.Table, known: Answers) -> np.ndarray:
         keys, _ = _candidates(_Hashed(table), known, bits, window, block)
         return distinct_flagged(short(keys, FULL_BITS))
 
     repeats = ask_again(full, hits, exact, _seen_twice)
 
-    def cut(table: pa.Table, known: np.ndarray) -> pa.Table:
+    def cut(table: pa.Table, known: Answers) -> pa.Table:
         out: dict[str, list] = {"key": table.column("key").to_pylist() if table.num_rows else [], "n_words": [], "n_removed": [], "spans": [], "kept": []}
         for _, _, words in pieces(_column(table)) if table.num_rows else ():
             _cut_piece(words, known, window, out)
@@ -121,9 +121,9 @@ def repeated_spans(corpus: Corpus, window: int = WINDOW) -> DataFrame:
     return with_answers(full, repeats, cut, "key string, n_words long, n_removed long, spans array<array<long>>, kept string")
 
 
-def _cut_piece(words: Words, known: np.ndarray, window: int, out: dict[str, list]) -> None:
+def _cut_piece(words: Words, known: Answers, window: int, out: dict[str, list]) -> None:
     keys, at = words.windows(words.hashes(), window)
-    hit = at[level_of(short(keys, FULL_BITS), known) >= 0]
+    hit = at[known.level_of(short(keys, FULL_BITS)) >= 0]
     step = np.zeros(len(words.starts) + 1, np.int64)
     step[hit] += 1
     np.add.at(step, hit + window, -1)
