@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callcredit.llm import bpe, ctw, host_rules, licences, mixing, ngram_join, repeats, sharding, toxicity
+from callcredit.llm import bpe, ctw, host_rules, itq, licences, mixing, ngram_join, repeats, sharding, toxicity
 
-MODULES = (sharding, mixing, licences, host_rules, bpe, toxicity, repeats, ngram_join, ctw)
+MODULES = (sharding, mixing, licences, host_rules, bpe, toxicity, repeats, ngram_join, ctw, itq)
 
 
 def queries() -> dict:
