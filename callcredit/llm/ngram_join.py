@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callcredit.llm.components import components
@@ -172,20 +172,36 @@ def linked_components(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     return components(links.unionByName(late).unionByName(copies), "a", "b").withColumnRenamed("node", "key")
 
 
-def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with ``_key``, ``_size`` and ``_class``: documents of a class
-    reach each other by links. Wordless documents have a null class."""
+def text_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(_key, _size, _class) of every distinct text: texts of a class reach each
+    other by links. Wordless texts have a null class."""
     rows = staged(shingle_rows(store_texts(docs), n, percent))
     found = linked_components(rows, percent).withColumnRenamed("key", "k")
     sizes = rows.select(F.col("key").alias("_key"), F.col("size").alias("_size"))
-    classes = sizes.join(found, F.col("_key") == F.col("k"), "left").select(
+    return sizes.join(found, F.col("_key") == F.col("k"), "left").select(
         "_key", "_size", F.when(F.col("_size") > 0, F.coalesce("component", "_key")).alias("_class"))
-    return docs.withColumn("_key", text_key(F.col("text"))).join(classes, "_key")
+
+
+def one_of_class(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The row with the least doc_id of every class of near copies, and all
+    wordless rows, with the columns of ``docs``."""
+    classes = staged(text_classes(docs, n, percent))
+    key = text_key(F.col("text")).alias("_key")
+    ids = docs.select(F.col("doc_id").alias("_id"), key).join(classes, "_key")
+    first = F.min_by(F.struct("_id", "_key"), F.struct(F.col("_id").isNull(), "_id", "_key"))
+    best = ids.where("_class is not null").groupBy("_class").agg(first.alias("w")).select("w._id", "w._key", F.lit(True).alias("_one"))
+    kept = best.unionByName(ids.where("_class is null").select("_id", "_key", F.lit(False).alias("_one")).distinct())
+    kept = kept.select(F.col("_id").alias("_i"), F.col("_key").alias("_k"), "_one")
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), key)
+    same = F.row_number().over(Window.partitionBy("_key", "_id").orderBy(F.lit(0)))
+    return (
+        packed.join(kept, (F.col("_key") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_i")))
+        .withColumn("_same", same).where((F.col("_same") == 1) | ~F.col("_one")).select("_row.*"))
 
 
 def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    classed = near_duplicates(docs).select("doc_id", "_size", "_class")
+    classed = docs.select("doc_id", text_key(F.col("text")).alias("_key")).join(staged(text_classes(docs)), "_key")
     least = classed.where("_class is not null").groupBy("_class").agg(F.min("doc_id").alias("least")).withColumnRenamed("_class", "_c")
     return classed.join(least, F.col("_class") == F.col("_c"), "left").select(
         "doc_id", F.col("_size").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))

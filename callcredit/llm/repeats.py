@@ -153,10 +153,11 @@ def _cut_piece(words: Words, known: Answers, window: int, out: dict[str, list])
         out["kept"].append(line[ends[kept_before[a]]:max(int(ends[kept_before[a]]), int(ends[kept_before[b]]) - 1)])
 
 
-def removal(docs: DataFrame, window: int = WINDOW, of_kept: Callable[[Column], Column] = lambda c: c) -> tuple[DataFrame, DataFrame]:
+def removal(docs: DataFrame, window: int = WINDOW, of_kept: Callable[[Column], Column] = lambda c: c, of_gone: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """``docs`` with their text key (``_key``), and per key the words removed
-    and ``of_kept(kept text)``; a text that two rows have loses everything if
-    it has a window."""
+    and ``of_kept(kept text)``, which is ``of_gone`` (an empty text) of texts
+    that two rows have and that have a window: they lose everything."""
+    of_gone = F.lit("") if of_gone is None else of_gone
     found = repeated_spans(store_texts(docs), window).withColumn("kept", of_kept(F.col("kept")))
     keyed = docs.withColumn("_key", text_key(F.col("text")))
     twice = keyed.groupBy("_key").agg(F.count("*").alias("_copies"))
@@ -165,13 +166,13 @@ def removal(docs: DataFrame, window: int = WINDOW, of_kept: Callable[[Column], C
         "_key", "n_words",
         F.when(all_gone, F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
         F.when(all_gone, F.array(F.array(F.lit(0).cast("long"), F.col("n_words")))).otherwise(F.col("spans")).alias("spans"),
-        F.when(all_gone, of_kept(F.lit(""))).otherwise(F.col("kept")).alias("kept"))
+        F.when(all_gone, of_gone).otherwise(F.col("kept")).alias("kept"))
     return keyed, results
 
 
 def op8_block_anchors(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed, results = removal(docs, of_kept=lambda c: F.sha2(c, 256))
+    keyed, results = removal(docs, of_kept=lambda c: F.sha2(c, 256), of_gone=F.sha2(F.lit(""), 256))
     digests = results.select("_key", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
     return keyed.select("doc_id", "_key").join(digests, "_key").drop("_key")
 
@@ -179,13 +180,14 @@ def op8_block_anchors(spark, sf_dir: str) -> DataFrame:
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with their columns; texts that hold repeats become their kept
     words joined by one space, and n_chars, if there, is counted again."""
-    keyed, results = removal(docs, window)
+    keyed, results = removal(docs, window, of_kept=lambda c: F.when(F.col("n_removed") > 0, c))
     changed = results.where("n_removed > 0").select("_key", F.col("kept").alias("_kept"))
-    text = F.when(F.col("_kept").isNotNull(), F.col("_kept")).otherwise(F.col("text"))
-    out = keyed.join(changed, "_key", "left").withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNotNull(), F.char_length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    cells = {c: F.col(f"_row.{c}") for c in docs.columns} | {"text": F.coalesce("_kept", "_row.text")}
+    if "n_chars" in cells:
+        n_chars = F.char_length("_kept").cast(docs.schema["n_chars"].dataType)
+        cells["n_chars"] = F.when(F.col("_kept").isNotNull(), n_chars).otherwise(F.col("_row.n_chars"))
+    packed = keyed.select("_key", F.struct(*docs.columns).alias("_row"))
+    return packed.join(changed, "_key", "left").select([cells[c].alias(c) for c in docs.columns])
 
 
 QUERIES = {"op8_block_anchors": op8_block_anchors}

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callcredit.llm.storage import documents, staged
 from callcredit.llm.words import Words, per_row, pieces, segment_hashes
@@ -262,8 +263,12 @@ def measured(docs: DataFrame, model: dict, carry: list[str], spans: bool = False
     """``carry`` columns, tokens (n), toxic tokens (hits), best segment score,
     significant passages, and on demand their token spans and scores."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join([*[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry],
-                        "n long, hits long, best double, passages long", *["spans array<struct<start:long,end:long,score:double>>"] * spans])
+    span_type = T.StructType().add("start", "long").add("end", "long").add("score", "double")
+    schema = T.StructType([docs.schema[c] for c in carry])
+    for name, kind in (("n", "long"), ("hits", "long"), ("best", "double"), ("passages", "long")):
+        schema.add(name, kind)
+    if spans:
+        schema.add("spans", T.ArrayType(span_type))
 
     def run(batches):
         m = shared.value
@@ -302,6 +307,12 @@ def toxicity_scores(docs: DataFrame, model: dict, carry: list[str], spans: bool
         *carry, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("passages").alias("n_passages"), *["spans"] * spans)
 
 
+def without_toxic(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of ``docs`` that aren't predicted toxic, with their columns."""
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    return toxicity_scores(packed, model, ["_row"]).where("predicted = 0").select("_row.*")
+
+
 def read_labels(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
 
