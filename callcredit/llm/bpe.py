@@ -38,10 +38,10 @@ from pyspark.sql import types as T
 from callcredit.llm.storage import documents
 
 TOKENIZER = "word_bpe_49k.json"
-STRETCH = 1 << 21
-ROWS_PER_BATCH = 500
-PAIRS_KEPT = 1 << 20
-WORDS_KEPT = 1 << 18
+STRETCH = 1 << 20
+ROWS_PER_BATCH = 250
+PAIRS_KEPT = 1 << 17
+WORDS_KEPT = 1 << 17
 
 _STOP = 0xFFFF
 _END = 256
@@ -320,6 +320,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     def run(batches):
         encoder = Encoder(**shared.value)
         for batch in batches:
+            pa.default_memory_pool().release_unused()
             for at in range(0, batch.num_rows, ROWS_PER_BATCH):
                 part = batch.slice(at, ROWS_PER_BATCH)
                 texts = part.column(part.schema.get_field_index(text_col))

@@ -120,7 +120,7 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
-            for at, end, words in pieces(batch.column("text"), lower=True, most=4 << 20):
+            for at, end, words in pieces(batch.column("text"), lower=True):
                 yield pa.RecordBatch.from_pydict(_count(toxic[at:end], words))
 
     counted = labelled.select("text", F.col("toxic").cast("int")).mapInArrow(run, "feature long, y1 long, y0 long, d1 long, d0 long")
