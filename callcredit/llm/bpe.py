@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callcredit.llm.storage import documents
+from callcredit.llm.storage import documents, texts_in_small_batches
 
 TOKENIZER = "word_bpe_49k.json"
 STRETCH = 1 << 20
@@ -309,55 +309,75 @@ def _with_column(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.Recor
     return pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in names], column], [*names, name])
 
 
+def _ids_field(name: str) -> T.StructField:
+    return T.StructField(name, T.ArrayType(T.IntegerType()))
+
+
 def _extended(df: DataFrame, field: T.StructField) -> T.StructType:
     return T.StructType([*[f for f in df.schema.fields if f.name != field.name], field])
 
 
+def _encoded(batches, values: dict, text_col: str, ids_col: str):
+    encoder = Encoder(**values)
+    for batch in batches:
+        pa.default_memory_pool().release_unused()
+        for at in range(0, batch.num_rows, ROWS_PER_BATCH):
+            part = batch.slice(at, ROWS_PER_BATCH)
+            texts = part.column(part.schema.get_field_index(text_col))
+            found = _encode_column(encoder, (x.as_py() or "" for x in texts))
+            offsets = np.append(0, np.cumsum([len(x) for x in found]))
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found), pa.int32()))
+            yield _with_column(part, ids_col, ids)
+
+
+def _offset_table(model: Model) -> tuple[bytes, np.ndarray]:
+    """All token strings, each followed by a space, and where each begins."""
+    strings = dict(enumerate(model.tokens)) | {i: s for s, i in model.special.items()}
+    pieces = [(strings.get(i, "") + " ").encode() for i in range(max(strings) + 1)]
+    return b"".join(pieces), np.append(0, np.cumsum([len(p) for p in pieces]))
+
+
+def _decoded(batches, joined: bytes, first: np.ndarray, ids_col: str, text_col: str):
+    table = np.frombuffer(joined, np.uint8)
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_PER_BATCH):
+            part = batch.slice(at, ROWS_PER_BATCH)
+            lists = part.column(part.schema.get_field_index(ids_col))
+            texts = []
+            for x in lists:
+                ids = x.values.to_numpy(zero_copy_only=False) if x.is_valid else np.zeros(0, np.int64)
+                texts.append(gathered(table, first, ids)[:-1].tobytes() if len(ids) else b"")
+            yield _with_column(part, text_col, pa.array(texts, pa.binary()).cast(pa.string()))
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the token ids of every whole text."""
+    texts_in_small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Model(path).values())
-
-    def run(batches):
-        encoder = Encoder(**shared.value)
-        for batch in batches:
-            pa.default_memory_pool().release_unused()
-            for at in range(0, batch.num_rows, ROWS_PER_BATCH):
-                part = batch.slice(at, ROWS_PER_BATCH)
-                texts = part.column(part.schema.get_field_index(text_col))
-                found = _encode_column(encoder, (x.as_py() or "" for x in texts))
-                offsets = np.append(0, np.cumsum([len(x) for x in found]))
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found), pa.int32()))
-                yield _with_column(part, ids_col, ids)
-
-    return docs.mapInArrow(run, _extended(docs, T.StructField(ids_col, T.ArrayType(T.IntegerType()))))
+    return docs.mapInArrow(lambda b: _encoded(b, shared.value, text_col, ids_col), _extended(docs, _ids_field(ids_col)))
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with the text of its token ids."""
+    shared = df.sparkSession.sparkContext.broadcast(_offset_table(Model(path)))
+    return df.mapInArrow(lambda b: _decoded(b, *shared.value, ids_col, text_col), _extended(df, T.StructField(text_col, T.StringType())))
+
+
+def encode_and_decode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """``decode(encode(docs))`` in one pass of one Python worker a task."""
+    texts_in_small_batches(docs.sparkSession)
     model = Model(path)
-    strings = dict(enumerate(model.tokens)) | {i: s for s, i in model.special.items()}
-    pieces = [(strings.get(i, "") + " ").encode() for i in range(max(strings) + 1)]
-    shared = df.sparkSession.sparkContext.broadcast((b"".join(pieces), np.append(0, np.cumsum([len(p) for p in pieces]))))
+    shared = docs.sparkSession.sparkContext.broadcast((model.values(), *_offset_table(model)))
 
     def run(batches):
-        joined, first = shared.value
-        table = np.frombuffer(joined, np.uint8)
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_PER_BATCH):
-                part = batch.slice(at, ROWS_PER_BATCH)
-                lists = part.column(part.schema.get_field_index(ids_col))
-                texts = []
-                for x in lists:
-                    ids = x.values.to_numpy(zero_copy_only=False) if x.is_valid else np.zeros(0, np.int64)
-                    texts.append(gathered(table, first, ids)[:-1].tobytes() if len(ids) else b"")
-                yield _with_column(part, text_col, pa.array(texts, pa.binary()).cast(pa.string()))
+        values, joined, first = shared.value
+        return _decoded(_encoded(batches, values, text_col, ids_col), joined, first, ids_col, decoded_col)
 
-    return df.mapInArrow(run, _extended(df, T.StructField(text_col, T.StringType())))
+    return docs.mapInArrow(run, T.StructType([*_extended(docs, _ids_field(ids_col)), T.StructField(decoded_col, T.StringType())]))
 
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
-    ids = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path).drop("text")
-    return decode(ids, path).select(
+    return encode_and_decode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

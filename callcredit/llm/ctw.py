@@ -309,7 +309,7 @@ def lm_scores(rows: DataFrame, depth: int = DEPTH, chunk_bytes: int = CHUNK_BYTE
     spark = rows.sparkSession
     corpus: Corpus = store_rows(rows, chunk_bytes)
     buckets = corpus.chunks
-    sent = stored(corpus.texts.groupBy("chunk").applyInArrow(lambda t: _tell(t, buckets, depth), SENT), "bucket", buckets)
+    sent, _ = stored(corpus.texts.groupBy("chunk").applyInArrow(lambda t: _tell(t, buckets, depth), SENT), "bucket", buckets)
     grams = sent.where(F.col("kind") == GRAMS)
     words = sent.where(F.col("kind") == WORDS)
     totals = staged(grams.groupBy("bucket").applyInArrow(_totals, "key long, n long"))

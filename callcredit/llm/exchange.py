@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callcredit.llm.storage import texts_in_small_batches
 from callcredit.session import ensure_checkpoint_dir
 
 CHUNK_BYTES = 8 << 20
@@ -42,6 +43,14 @@ class Corpus:
     texts: DataFrame
     chunks: int
     bits: int
+    table: str = ""
+
+    def discard(self) -> None:
+        """Deletes the stored texts; only results staged before can be used on."""
+        spark = self.texts.sparkSession
+        spark.sql(f"DROP TABLE {self.table}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/{self.table}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_key(column):
@@ -63,28 +72,31 @@ def store_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Corpus:
     chunks, bits = _chunking(docs, chunk_bytes)
     keyed = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(
         F.pmod(F.xxhash64("text"), F.lit(chunks).cast("long")).cast("int").alias("chunk"), F.md5("text").alias("key"), "text")
-    return Corpus(stored(keyed.mapInArrow(_new_of_task, keyed.schema), "chunk", chunks, lambda df: df.distinct()), chunks, bits)
+    texts, table = stored(keyed.mapInArrow(_new_of_task, keyed.schema), "chunk", chunks, lambda df: df.distinct())
+    return Corpus(texts, chunks, bits, table)
 
 
 def store_rows(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Corpus:
     """The rows of ``docs`` (with a text column) dealt evenly to chunks."""
     chunks, bits = _chunking(docs, chunk_bytes)
     dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks).cast("long")).cast("int")
-    return Corpus(stored(docs.select(dealt.alias("chunk"), *docs.columns), "chunk", chunks), chunks, bits)
+    texts, table = stored(docs.select(dealt.alias("chunk"), *docs.columns), "chunk", chunks)
+    return Corpus(texts, chunks, bits, table)
 
 
 def _chunking(docs: DataFrame, chunk_bytes: int) -> tuple[int, int]:
+    texts_in_small_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     # A word takes two bytes at least, with the space behind it.
     return max(1, math.ceil(total / chunk_bytes)), min(58, max(1, math.ceil(math.log2(total + 2)) - 1) + HASH_SPARE)
 
 
-def stored(rows: DataFrame, key: str, values: int, then: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """``rows`` as a table bucketed by ``key``, in the shared folder."""
+def stored(rows: DataFrame, key: str, values: int, then: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, str]:
+    """``rows`` as a table bucketed by ``key``, in the shared folder, and its name."""
     spark, name, buckets = rows.sparkSession, f"{key}_{uuid.uuid4().hex}", min(values, MAX_TABLE_BUCKETS)
     (then(rows.repartition(buckets, key)).write.bucketBy(buckets, key).option("compression", "zstd")
      .option("path", f"{ensure_checkpoint_dir(spark)}/{name}").saveAsTable(name))
-    return spark.read.table(name)
+    return spark.read.table(name), name
 
 
 def pack(values: np.ndarray) -> bytes:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callcredit.llm.storage import documents, staged
+from callcredit.llm.storage import documents, staged, texts_in_small_batches
 from callcredit.llm.words import Words, per_row, pieces, segment_hashes
 
 WINDOW = 8
@@ -89,6 +89,8 @@ def measures(docs: DataFrame, host_col: str = "source") -> DataFrame:
     """doc_id, host and the measures of every text."""
     names = [x.split()[0] for x in MEASURES.split(", ")]
 
+    texts_in_small_batches(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             parts = [_measure(w) for _, _, w in pieces(batch.column("text"))]

@@ -175,7 +175,9 @@ def linked_components(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
 def text_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(_key, _size, _class) of every distinct text: texts of a class reach each
     other by links. Wordless texts have a null class."""
-    rows = staged(shingle_rows(store_texts(docs), n, percent))
+    corpus = store_texts(docs)
+    rows = staged(shingle_rows(corpus, n, percent))
+    corpus.discard()
     found = linked_components(rows, percent).withColumnRenamed("key", "k")
     sizes = rows.select(F.col("key").alias("_key"), F.col("size").alias("_size"))
     return sizes.join(found, F.col("_key") == F.col("k"), "left").select(

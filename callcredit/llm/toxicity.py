@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callcredit.llm.storage import documents, staged
+from callcredit.llm.storage import documents, staged, texts_in_small_batches
 from callcredit.llm.words import Words, per_row, pieces, segment_hashes
 
 FIT_ROWS = 50_000
@@ -104,6 +104,8 @@ def _signature(words: Words) -> np.ndarray:
 def one_of_near_copies(labelled: DataFrame) -> DataFrame:
     """(text, toxic, calibrates) rows, one of those with the same signature."""
 
+    texts_in_small_batches(labelled.sparkSession)
+
     def run(batches):
         for batch in batches:
             found = [_signature(w).view(np.int64) for _, _, w in pieces(batch.column("text"), lower=True)]
@@ -117,6 +119,8 @@ def one_of_near_copies(labelled: DataFrame) -> DataFrame:
 def feature_counts(labelled: DataFrame) -> DataFrame:
     """(feature, y1, y0, d1, d0) of (text, toxic) rows."""
 
+    texts_in_small_batches(labelled.sparkSession)
+
     def run(batches):
         for batch in batches:
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
@@ -270,6 +274,8 @@ def measured(docs: DataFrame, model: dict, carry: list[str], spans: bool = False
     if spans:
         schema.add("spans", T.ArrayType(span_type))
 
+    texts_in_small_batches(docs.sparkSession)
+
     def run(batches):
         m = shared.value
         scanner = Scanner(m["features"], m["scores"], m["other"])

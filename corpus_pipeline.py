@@ -44,9 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digest of the text they decode to."""
-    path = bpe.tokenizer_path()
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), path).drop("text")
-    return bpe.decode(ids, path).select(
+    return bpe.encode_and_decode(docs.select("doc_id", "source", "text"), bpe.tokenizer_path()).select(
         "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
