@@ -136,7 +136,7 @@ def test_context_tree_counts_and_scores(spark):
     known = {w for i in train for w in texts[i]}
     assert {r["train_tokens"] for r in rows} == {sum(len(texts[i]) + 1 for i in train)}
     assert all(r["n_tokens"] == len(texts[r["doc_id"]]) + 1 and r["n_known"] == sum(w in known for w in texts[r["doc_id"]]) + 1 for r in rows)
-    assert all(1 < r["bits_per_byte"] < 4 for r in rows)
+    assert 1 < sum(r["bits_per_byte"] for r in rows) / len(rows) < 4 and all(r["score"] < 0 for r in rows)
 
 
 def test_toxicity_on_held_out_rows(spark):
