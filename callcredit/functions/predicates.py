@@ -22,11 +22,6 @@ def any_of(conds) -> Column:
     return reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
 
 
-def all_of(conds) -> Column:
-    conds = list(conds)
-    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
-
-
 def null_string() -> Column:
     """Oracle ``''``: a typed NULL string."""
     return F.lit(None).cast("string")

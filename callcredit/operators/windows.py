@@ -2,11 +2,10 @@
 
 ``latest_per``/``earliest_per`` pick one row per key with an aggregate over an
 ordered struct (partial aggregation before every shuffle, skew-safe).
-``top1`` is the window form, ``row_number() = 1``, for arbitrary orders.
 ``sequence_ids`` numbers rows inside a group without gathering the group:
-rows are range-partitioned in the requested order, each task counts its slice,
-and the per-slice offsets (a table of at most partitions x groups rows) are
-summed with a small window and joined back.
+rows are range-partitioned in the requested order and stored with their slice
+and position; the per-slice offsets are summed with a small window and joined
+back.
 """
 
 from __future__ import annotations
@@ -14,19 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-MAX_SLICES = 512
+from ..session import ensure_checkpoint_dir
 
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def top1(df: DataFrame, keys, order: list[Column]) -> DataFrame:
-    w = Window.partitionBy(*_cols(keys)).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-
-
 def _pick(df: DataFrame, keys, by: str, ties, latest: bool, first: str | None) -> DataFrame:
     """One row per key chosen by an ordered struct, as an aggregate.
 
@@ -86,26 +79,25 @@ def first_in_group(df: DataFrame, keys: list[str], col: str, name: str,
     return df.join(agg, cond, "left").drop(*[f"_g_{k}" for k in keys])
 
 
-def sequence_ids(df: DataFrame, keys: list[str], order: list[Column], name: str,
-                 slices: int | None = None, few_groups: bool = True) -> DataFrame:
+def sequence_ids(df: DataFrame, keys: list[str], order: list[Column], name: str, slices: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order)``, distributed.
 
     ``order`` must be a total order (append tie-breakers) so the numbering is
-    deterministic and a recomputed task reproduces it. The offsets table has
-    at most ``slices + groups`` rows (each slice holds a contiguous key range).
-    With ``few_groups`` (e.g. months) that is a proven small bound and it is
-    broadcast; otherwise it is joined normally, size-checked by the planner
-    and AQE.
+    deterministic. Rows are range-partitioned into ``slices`` (default: the
+    session's shuffle partitions) and stored with their slice and position in
+    the shared checkpoint folder; counts and numbers both come from the stored
+    rows, so they agree whatever the optimiser does with either. The offsets
+    have at most ``slices + groups`` rows, as each slice holds a contiguous
+    range; whether they are broadcast is decided by their size.
     """
     spark = df.sparkSession
-    # A fixed slice count: AQE never re-coalesces this shuffle, so the slice ids
-    # seen by the counting branch and the numbering branch are the same.
-    n = slices or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_SLICES)
-    key_cols = _cols(keys)
-    ordered = (df.repartitionByRange(n, *[k.asc_nulls_first() for k in key_cols], *order)
-                 .sortWithinPartitions(*[k.asc_nulls_first() for k in key_cols], *order))
-    tagged = (ordered.withColumn("_slice", F.spark_partition_id())
-                     .withColumn("_pos", F.monotonically_increasing_id()))
+    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = [*[k.asc_nulls_first() for k in _cols(keys)], *order]
+    ensure_checkpoint_dir(spark)
+    tagged = (df.repartitionByRange(n, *ranged).sortWithinPartitions(*ranged)
+                .withColumn("_slice", F.spark_partition_id())
+                .withColumn("_pos", F.monotonically_increasing_id())
+                .checkpoint(eager=True))
     counts = tagged.groupBy("_slice", *keys).agg(F.count(F.lit(1)).alias("_n"),
                                                 F.min("_pos").alias("_first"))
     w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -115,6 +107,6 @@ def sequence_ids(df: DataFrame, keys: list[str], order: list[Column], name: str,
     cond = F.col("_slice") == F.col("_o_slice")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    joined = tagged.join(F.broadcast(offsets) if few_groups else offsets, cond, "inner")
-    return (joined.withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int"))
+    return (tagged.join(offsets, cond)
+                  .withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int"))
                   .drop("_slice", "_pos", "_o_slice", "_offset", "_first", *[f"_o_{k}" for k in keys]))

@@ -53,15 +53,17 @@ FROM appl_loan l JOIN call_disp c ON c.cuid = CAST(l.cuid AS VARCHAR)
  AND c.time_of_call_start < l.sign_date
  AND l.sign_date < date_trunc('day', c.time_of_call_start) + INTERVAL 8 DAY"""),
         "j09_approval_band": _q("""
-SELECT l.contract_code, c.call_id
+SELECT l.contract_code, count(*) AS n_calls
 FROM appl_loan l JOIN call_disp c ON c.cuid = CAST(l.cuid AS VARCHAR)
  AND c.time_of_call_start > l.approve_date - INTERVAL 1 MINUTE
- AND c.time_of_call_start < l.sign_date"""),
+ AND c.time_of_call_start < l.sign_date
+GROUP BY l.contract_code"""),
         "j10_callback_pairs": _q("""
-SELECT t2.call_id AS first_call_id, t1.call_id AS later_call_id
+SELECT t2.call_id AS first_call_id, count(*) AS n_later
 FROM call_disp t1 JOIN call_disp t2 ON t1.cuid = t2.cuid
  AND t1.time_of_call_start > t2.time_of_call_start
- AND t1.time_of_call_start < date_trunc('day', t2.time_of_call_start) + INTERVAL 4 DAY"""),
+ AND t1.time_of_call_start < date_trunc('day', t2.time_of_call_start) + INTERVAL 4 DAY
+GROUP BY t2.call_id"""),
         "j10_callback_days": _q("""
 SELECT t1.call_id AS later_call_id, f.d AS callback_day, f.first_call_id
 FROM call_disp t1
@@ -73,6 +75,7 @@ JOIN (SELECT cuid, d, time_of_call_start AS p_ts, call_id AS first_call_id FROM
   ON t1.cuid = f.cuid AND t1.time_of_call_start > f.p_ts
  AND t1.time_of_call_start < f.d + INTERVAL 4 DAY"""),
         "j11_active_contracts": _q("""
+SELECT call_id, count(contract_code) AS n_contracts FROM (
 SELECT c.call_id, t.contract_code
 FROM call_disp c LEFT JOIN (
   SELECT id_cuid, num_apl_contract AS contract_code,
@@ -80,7 +83,8 @@ FROM call_disp c LEFT JOIN (
          coalesce(dtime_apl_close, TIMESTAMP '3000-01-01') AS c
   FROM crm_appl
   WHERE (CASE WHEN dtime_apl_sign = TIMESTAMP '3000-01-01' THEN NULL ELSE dtime_apl_sign END) IS NOT NULL) t
-  ON TRY_CAST(c.cuid AS BIGINT) = t.id_cuid AND c.time_of_call_start < t.c AND c.time_of_call_start > t.s"""),
+  ON TRY_CAST(c.cuid AS BIGINT) = t.id_cuid AND c.time_of_call_start < t.c AND c.time_of_call_start > t.s) x
+GROUP BY call_id"""),
         "j12_withdrawal_counts": _q("""
 SELECT b.contract_code, b.sign_date, count(DISTINCT t4.dtime_auth_transaction) AS total_transaction
 FROM (SELECT DISTINCT contract_code, sign_date FROM card_bonus) b
@@ -122,8 +126,8 @@ SELECT il_communication_id, call_id, time_of_call_start, call_1st FROM (
          min(time_of_call_start) OVER (PARTITION BY il_communication_id) AS call_1st
   FROM call_disp) x WHERE rn = 1"""),
         "w07_contract_sequence": _q("""
-SELECT contract_code, mth, n, 'CARD_' || replace(mth, '-', '_') || '_' || CAST(n AS VARCHAR) AS camp_id FROM (
-  SELECT contract_code, strftime(sign_date, '%Y-%m') AS mth,
+SELECT contract_code, mth, n, sign_date, cuid, 'CARD_' || replace(mth, '-', '_') || '_' || CAST(n AS VARCHAR) AS camp_id FROM (
+  SELECT contract_code, sign_date, cuid, strftime(sign_date, '%Y-%m') AS mth,
          CAST(row_number() OVER (PARTITION BY strftime(sign_date, '%Y-%m')
                                  ORDER BY sign_date ASC NULLS LAST, contract_code ASC NULLS LAST) AS INTEGER) AS n
   FROM card_bonus) x"""),

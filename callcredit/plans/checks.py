@@ -67,11 +67,11 @@ def approval_band(inputs, as_of, rules) -> DataFrame:
     ts = F.col("time_of_call_start")
     j = calls.join(loans, (F.col("cuid") == F.col("ct_cuid")) & (ts > minus_minutes(F.col("approve_date"), 1))
                    & (ts < F.col("sign_date")))
-    return j.select("contract_code", "call_id")
+    return j.groupBy("contract_code").agg(F.count("call_id").alias("n_calls"))
 
 
 def callback_pairs(inputs, as_of, rules) -> DataFrame:
-    """Later calls of the same client before the 4th day after a call (self join)."""
+    """Number of later calls of the same client before the 4th day after a call."""
     c = inputs["call_disp"]
     first = c.select(F.col("call_id").alias("first_call_id"), F.col("cuid").alias("p_cuid"),
                      F.col("time_of_call_start").alias("p_ts"))
@@ -79,7 +79,7 @@ def callback_pairs(inputs, as_of, rules) -> DataFrame:
     ts, p_ts = F.col("time_of_call_start"), F.col("p_ts")
     cond = (F.col("cuid") == F.col("p_cuid")) & (ts > p_ts) & (ts < P.next_days(p_ts, 4))
     j = band_join(later, first, cond, point=ts, low=p_ts, high=plus_days(day_start(p_ts), 3))
-    return j.select("first_call_id", "later_call_id")
+    return j.groupBy("first_call_id").agg(F.count("later_call_id").alias("n_later"))
 
 
 def active_contracts(inputs, as_of, rules) -> DataFrame:
@@ -92,7 +92,7 @@ def active_contracts(inputs, as_of, rules) -> DataFrame:
     ts = F.col("time_of_call_start")
     j = calls.join(ct, (F.col("cuid").try_cast("bigint") == F.col("id_cuid")) & (ts < F.col("c")) & (ts > F.col("s")),
                    "left")
-    return j.select("call_id", "contract_code")
+    return j.groupBy("call_id").agg(F.count("contract_code").alias("n_contracts"))
 
 
 def withdrawal_counts(inputs, as_of, rules) -> DataFrame:
@@ -147,11 +147,11 @@ def first_and_last_per_contact(inputs, as_of, rules) -> DataFrame:
 
 def contract_sequence(inputs, as_of, rules) -> DataFrame:
     """W7 + X17 + X18: per-month sequence ids of card contracts by signing time."""
-    c = inputs["card_bonus"].select("contract_code", month_key(F.col("sign_date")).alias("mth"), "sign_date")
+    c = inputs["card_bonus"].select("*", month_key(F.col("sign_date")).alias("mth"))
     seq = sequence_ids(c, ["mth"], [F.col("sign_date").asc_nulls_last(), F.col("contract_code").asc_nulls_last()],
                        "n")
     cid = P.oracle_concat(F.lit("CARD_"), F.regexp_replace("mth", "-", "_"), F.lit("_"), F.col("n").cast("string"))
-    return seq.select("contract_code", "mth", "n", cid.alias("camp_id"))
+    return seq.select("contract_code", "mth", "n", cid.alias("camp_id"), "sign_date", "cuid")
 
 
 def applications(inputs, as_of, rules) -> DataFrame:

@@ -31,41 +31,15 @@ def _mart_columns(df: DataFrame, part: str | None) -> DataFrame:
     return df.drop(part) if part else df
 
 
-def build_all(inputs: dict[str, DataFrame], as_of, rules: R.Rules = R.DEFAULT_RULES,
-              days: int | None = None) -> dict[str, DataFrame]:
-    """All fifteen marts as lazy DataFrames (no action, no write).
-
-    Downstream marts are composed from the upstream frames directly, so the
-    whole job is one logical plan per mart; ``refresh_all`` is the variant
-    that writes each mart and reads the written table downstream.
-    """
-    days = rules.attribution_days if days is None else days
-    out = {
-        "connect": connect.connected_calls(inputs, as_of, rules),
-        "connect_client": connect.connected_clients(inputs, as_of, rules),
-        "mobile_app": mobile.mobile_signups(inputs, as_of, rules),
-        "sending_lead": lead.sending_lead(inputs, as_of, rules, days),
-        "pushing_sign": lead.pushing_sign(inputs, as_of, rules, days),
-        "call_task": usage_calls.call_tasks(inputs, as_of, rules),
-        "mc_contract": contract.mc_contracts(inputs, as_of, rules),
-        "bnpl_usage_calls": usage_calls.push_usage_calls(inputs, as_of, rules, bnpl=True),
-    }
-    out["push_usage_call"] = usage_calls.push_usage_calls(inputs, as_of, rules, tasks=out["call_task"])
-    out["push_usage"] = usage_bonus.push_usage(inputs, out["push_usage_call"], as_of, rules)
-    out["usage_before_first_push"] = usage_bonus.usage_before_first_push(inputs, out["push_usage"], as_of, rules)
-    out["no_push_usage"] = usage_bonus.unrewarded_contracts(inputs, out["push_usage"],
-                                                            out["usage_before_first_push"], as_of, rules)
-    out["bonus_push_usage"] = usage_bonus.usage_bonus(out["push_usage"], out["usage_before_first_push"],
-                                                      out["no_push_usage"], as_of, rules)
-    out["bnpl_usage_bonus"] = usage_bonus.bnpl_usage_bonus(inputs, out["bnpl_usage_calls"], as_of, rules)
-    out["camp_bonus"] = campaign.campaign_bonus(out["bonus_push_usage"], out["bnpl_usage_bonus"], as_of, rules)
-    return out
-
-
 def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target: str,
                 rules: R.Rules = R.DEFAULT_RULES, days: int | None = None,
-                timings: dict | None = None) -> dict[str, str]:
-    """Run M1-M15 and write them under ``target``; returns mart -> path."""
+                timings: dict | None = None, backfill: bool = False) -> dict[str, str]:
+    """Run M1-M15 and write them under ``target``; returns mart -> path.
+
+    M7 replaces the days of its look-back only. With ``backfill`` the re-sent
+    calls of the lost days are loaded too: days that receive rows are replaced,
+    all other earlier days stay as they are.
+    """
     days = rules.attribution_days if days is None else days
     timings = {} if timings is None else timings
     paths = {}
@@ -73,7 +47,6 @@ def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target
     month2 = month_text(months_back_start(as_of, 2))
     attr_day = (day_floor(as_of) - dt.timedelta(days=days)).date().isoformat()
     usage_day = (day_floor(as_of) - dt.timedelta(days=rules.usage_lookback_days)).date().isoformat()
-    gap = (rules.gap_start.date().isoformat(), rules.gap_end.date().isoformat())
 
     def path(name):
         paths[name] = f"{target.rstrip('/')}/{name}"
@@ -118,14 +91,13 @@ def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target
     k1("pushing_sign", lambda: lead.pushing_sign(inputs, as_of, rules, days), "sign_day",
        F.date_format("sign_date", DAY), lambda v: v >= attr_day)
     k2("call_task", lambda: usage_calls.call_tasks(inputs, as_of, rules))
-    # The manual backfill re-inserts the lost days every run: they are part of the
-    # replaced window so reruns do not pile them up.
     # The window's outbound calls are read three times by M7: scan them once.
     calls = usage_calls.outbound_calls(inputs, as_of, rules).persist(StorageLevel.MEMORY_AND_DISK)
-    k1("push_usage_call", lambda: usage_calls.push_usage_calls(inputs, as_of, rules, tasks=table("call_task"),
-                                                               calls=calls),
-       "call_day", F.date_format("time_of_call_start", DAY),
-       lambda v: v >= usage_day or gap[0] <= v < gap[1])
+    def window_calls():
+        found = usage_calls.push_usage_calls(inputs, as_of, rules, tasks=table("call_task"), calls=calls)
+        return found if backfill else found.where(F.date_format("time_of_call_start", DAY) >= usage_day)
+
+    k1("push_usage_call", window_calls, "call_day", F.date_format("time_of_call_start", DAY), lambda v: v >= usage_day)
     calls.unpersist()
     k2("push_usage", lambda: usage_bonus.push_usage(inputs, table("push_usage_call", "call_day"), as_of, rules))
     k2("usage_before_first_push",

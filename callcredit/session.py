@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every mart relies on. Timestamps are TIMESTAMP_NTZ end to end and the
@@ -46,11 +47,14 @@ CLUSTER_CONF = {
 
 def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
                   app: str = "callcredit", extra: dict | None = None,
-                  profile: str = "local") -> SparkSession:
-    """Build (or get) the session. ``profile="cluster"`` applies CLUSTER_CONF
-    and leaves master and memory to the cluster manager."""
+                  profile: str | None = None) -> SparkSession:
+    """Build (or get) the session. ``profile="cluster"``, the default for any
+    master but a local one, applies CLUSTER_CONF and leaves memory to the
+    cluster manager, and the master too if only a local one is given."""
+    here = (master or "").startswith("local")
+    profile = profile or ("local" if here else "cluster")
     builder = SparkSession.builder.appName(app)
-    if master and profile != "cluster":
+    if master and (profile != "cluster" or not here):
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     if profile == "cluster":
@@ -63,7 +67,8 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int | Non
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -74,7 +79,7 @@ def apply_session_conf(spark: SparkSession) -> None:
             continue
         try:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave as is
+        except AnalysisException:  # static conf on a running session: leave as is
             pass
 
 

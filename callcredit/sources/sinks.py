@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+NEW, OLD = "__new", "__old"
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -71,9 +73,29 @@ def replace_window(df: DataFrame, path: str, part_col: str, in_window, keep=())
     return stale
 
 
+def _settle(spark: SparkSession, path: str) -> None:
+    """Put back the old table if a refresh stopped between its two renames."""
+    fs, p, jvm = _fs(spark, path)
+    old = jvm.org.apache.hadoop.fs.Path(f"{path}{OLD}")
+    if not fs.exists(p) and fs.exists(old):
+        fs.rename(old, p)
+
+
 def full_refresh(df: DataFrame, path: str) -> None:
-    """K2: replace the whole table."""
-    df.write.mode("overwrite").parquet(path)
+    """K2: replace the whole table. The new rows are written beside the table
+    and renamed into its place when their job has committed; the old rows are
+    deleted last."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    _settle(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}{NEW}")
+    fs, p, jvm = _fs(spark, path)
+    new, old = (jvm.org.apache.hadoop.fs.Path(f"{path}{x}") for x in (NEW, OLD))
+    fs.delete(old, True)
+    if fs.exists(p) and not fs.rename(p, old):
+        raise OSError(f"can't set aside {path}")
+    if not fs.rename(new, p):
+        raise OSError(f"can't rename {path}{NEW}")
+    fs.delete(old, True)
 
 
 def append_rows(df: DataFrame, path: str, part_col: str | None = None) -> None:
@@ -87,6 +109,7 @@ def append_rows(df: DataFrame, path: str, part_col: str | None = None) -> None:
 def read_table(spark: SparkSession, path: str, columns=None, schema=None) -> DataFrame:
     """Read a mart; with ``schema`` an empty table (no rows written yet) reads
     as an empty frame instead of failing schema inference."""
+    _settle(spark, path.rstrip("/"))
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
     return df.select(*columns) if columns else df

@@ -18,12 +18,3 @@ def read_inputs(spark: SparkSession, base_path: str, fmt: str = "parquet",
     for name in names or SCHEMAS:
         out[name] = spark.read.format(fmt).schema(SCHEMAS[name]).load(f"{base_path.rstrip('/')}/{name}")
     return out
-
-
-def read_catalog_inputs(spark: SparkSession, mapping: dict[str, str]) -> dict[str, DataFrame]:
-    """Inputs registered as tables: ``mapping`` is input name -> table name."""
-    out = {}
-    for name, table in mapping.items():
-        df = spark.table(table)
-        out[name] = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
-    return out

@@ -133,7 +133,7 @@ def test_sequence_ids_many_groups_without_broadcast(spark):
     data = [(rnd.randrange(200), rnd.randrange(5), i) for i in range(2000)]
     df = spark.createDataFrame(data, "g int, v int, id int")
     order = [F.col("v").asc_nulls_last(), F.col("id").asc_nulls_last()]
-    got = sequence_ids(df, ["g"], order, "n", slices=5, few_groups=False)
+    got = sequence_ids(df, ["g"], order, "n", slices=5)
     exp = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert rows(got, "id", "n") == rows(exp, "id", "n")
 
@@ -173,3 +173,21 @@ def test_sequence_ids_with_one_hot_group(spark):
     got = sequence_ids(df, ["g"], order, "n", slices=8)
     exp = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert rows(got, "id", "n") == rows(exp, "id", "n")
+
+
+def test_sequence_ids_of_many_rows_with_payload(spark):
+    """200,000 rows over several files; also when the optimiser reuses no exchange."""
+    import tempfile
+    path = tempfile.mkdtemp(prefix="cc-seq-") + "/t"
+    (spark.range(200_000).selectExpr("id", "CAST(hash(id) % 3 AS STRING) AS g", "hash(id, 7) % 1000 AS v", "md5(CAST(id AS STRING)) AS payload")
+     .repartition(9).write.parquet(path))
+    df = spark.read.parquet(path)
+    order = [F.col("v").asc_nulls_last(), F.col("id").asc_nulls_last()]
+    exp = df.withColumn("m", F.row_number().over(Window.partitionBy("g").orderBy(*order))).select(F.col("id").alias("i"), "m")
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = sequence_ids(df, ["g"], order, "n")
+            assert got.join(exp, F.col("id") == F.col("i")).where("n = m AND payload IS NOT NULL").count() == 200_000
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")

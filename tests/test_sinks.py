@@ -80,10 +80,25 @@ def test_refresh_later_keeps_rows_before_the_window(spark):
     assert sum(len(v) for v in kept.values()) > 0
 
 
-def test_build_all_is_lazy_and_equals_the_registry(spark):
-    import __spark_entry__ as E
-    from callcredit.plans.refresh import build_all
-    frames = build_all(load_inputs(spark, SF_SMALL), TEST_AS_OF, TEST_RULES)
-    assert len(frames) == 15
-    assert rows(frames["push_usage"]) == rows(E.queries()["m08_push_usage"](spark, SF_SMALL))
-    assert rows(frames["mc_contract"]) == rows(E.queries()["m13_mc_contracts"](spark, SF_SMALL))
+def test_a_failed_full_refresh_keeps_the_old_table(spark):
+    import pytest
+    path = tempfile.mkdtemp(prefix="cc-sink-") + "/t"
+    sinks.full_refresh(_df(spark, [("a", i) for i in range(5)]), path)
+    with pytest.raises(Exception, match="USER_RAISED|mid-write"):
+        sinks.full_refresh(_df(spark, [("b", i) for i in range(9)]).selectExpr(
+            "month", "CASE WHEN v = 7 THEN CAST(raise_error('mid-write') AS INT) ELSE v END AS v"), path)
+    assert sinks.read_table(spark, path).count() == 5
+    sinks.full_refresh(sinks.read_table(spark, path).where("v < 2"), path)  # may read what it replaces
+    assert sinks.read_table(spark, path).count() == 2
+
+
+def test_refresh_keeps_resent_days_that_age_out(spark):
+    """Days before the look-back stay, with and without a backfill run."""
+    import datetime as dt
+    from callcredit.functions.rules import TEST_BACKFILL_RULES
+    target = tempfile.mkdtemp(prefix="cc-gap-")
+    inputs = load_inputs(spark, SF_SMALL)
+    paths = refresh_all(spark, inputs, TEST_AS_OF, target, TEST_BACKFILL_RULES, backfill=True)
+    before = rows(sinks.read_table(spark, paths["push_usage_call"]))
+    refresh_all(spark, inputs, TEST_AS_OF + dt.timedelta(days=60), target, TEST_BACKFILL_RULES)
+    assert set(before) <= set(rows(sinks.read_table(spark, paths["push_usage_call"]))) and before
