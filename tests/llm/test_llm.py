@@ -2,8 +2,11 @@
 and on nulls, empty and long texts, ties, repeated rows, empty tables and
 columns with the names the operators use."""
 
+import collections
 import hashlib
+import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -183,3 +186,50 @@ def test_mixed_texts_have_the_words_taken(spark):
     docs = docs_of(spark)
     taken = sum(r["taken"] for r in collected(mixing.mix(docs)))
     assert taken == sum(len(WORD.findall(r["text"] or "")) for r in collected(mixing.mixed_documents(docs)))
+
+
+def best_of_all_runs(text, templates):
+    """(dice, licence) of the best of all runs of words, counted one by one."""
+    grams, best = licences._bigrams(text), (0.0, 0)
+    for i, (_, template) in enumerate(templates):
+        known = collections.Counter(licences._bigrams(template))
+        for s in range(len(grams)):
+            left, shared = known.copy(), 0
+            for e in range(s, len(grams)):
+                shared, left[grams[e]] = shared + (left[grams[e]] > 0), left[grams[e]] - 1
+                if shared * 200 >= (e - s + 1 + known.total()) * licences.PERCENT:
+                    best = max(best, (shared * 2 / (e - s + 1 + known.total()), -i))
+    return best[0], templates[-best[1]][0] if best[0] else None
+
+
+def test_licence_runs_wrapped_in_lines_and_whole(spark):
+    code = [f"value_{i} = compute(argument_{i}, {i})" for i in range(40)]
+    long = [(n, t) for n, t in licences.TEMPLATES if len(t) > 120]
+    wrapped = ["\n".join(textwrap.wrap(t, 76) + code) for _, t in long]
+    prose = "The tool reads tables. It is small. Released under the MIT License. Issues are welcome on the tracker, as are patches and notes."
+    texts = [*wrapped, prose, *["Copyright 2024 Some One\n\n" + t for _, t in licences.FULL_TEXTS]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in collected(licences.scan_licences(rows))}
+    names = [n for n, _ in long] + ["MIT"] + [n for n, _ in licences.FULL_TEXTS]
+    assert [(found[i]["licence"], found[i]["n_matches"]) for i in range(len(texts))] == [(n, 1) for n in names]
+    assert all(found[i]["dice"] == 1.0 for i in range(len(texts)))
+
+
+def test_licence_runs_equal_brute_force(spark):
+    rng = random.Random(5)
+    templates = licences.TEMPLATES[:3] + (("X", "a b a b a b c d a b"), ("Y", "c d a b c d e f"))
+    pool = [w for _, t in templates for w in t.split()] + ["a", "b", "c", "d"] * 8
+    texts = []
+    for _ in range(150):
+        parts = [rng.choice(templates)[1].split() if rng.random() < 0.4 else rng.choices(pool, k=rng.randint(1, 9)) for _ in range(4)]
+        # no two words alone in a line: only runs are compared here
+        texts.append(" ".join(w for p in parts for w in p if rng.random() < 0.93))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in collected(licences.scan_licences(rows, templates=(("none", "zq zr zs zt"),), full_texts=templates)):
+        dice, _ = best_of_all_runs(texts[r["doc_id"]], templates)
+        # the run that shares most bigrams wins over a better one it overlaps
+        assert (r["n_matches"] > 0) == (dice > 0) and r["dice"] <= dice
+    alone = templates[3:4]
+    for r in collected(licences.scan_licences(rows, templates=(("none", "zq zr zs zt"),), full_texts=alone)):
+        known = best_of_all_runs(texts[r["doc_id"]], alone)[0]
+        assert (r["n_matches"] > 0) == (known > 0) and r["dice"] <= known
