@@ -1,7 +1,7 @@
 """Toxic passages as maximal segments of token log-odds.
 
 Learning. Labelled rows of the learning folds, at most ``FIT_ROWS`` of them by
-a hash of the id and near copies (by a minhash) once, give counts of tokens (letters of a word,
+a hash of the id and equal texts of a label once, give counts of tokens (letters of a word,
 lower case) and of token beginnings of 4, 5 and 6 bytes, by label. Log-odds
 with an informative Dirichlet prior (Monroe, Colaresi and Quinn, 2008) and
 their z-scores choose at most ``MODEL_FEATURES`` toxic ones; all other tokens
@@ -88,32 +88,12 @@ def _count(toxic: np.ndarray, words: Words) -> dict[str, np.ndarray]:
             "d1": add(new_text & (label == 1)), "d0": add(new_text & (label == 0))}
 
 
-def _signature(words: Words) -> np.ndarray:
-    """The least hash of a text's 5-word windows, or of its words if fewer;
-    near copies mostly share it. 0 without words."""
-    h = words.hashes()
-    out = np.zeros(words.rows, np.uint64)
-    keys, at = words.windows(h, 5)
-    for values, row in ((h, words.row), (keys, words.row[at])):
-        cuts = np.flatnonzero(np.append(True, row[1:] != row[:-1])[:len(row)])
-        if len(cuts):
-            out[row[cuts]] = np.minimum.reduceat(values, cuts)
-    return out
-
-
-def one_of_near_copies(labelled: DataFrame) -> DataFrame:
-    """(text, toxic, calibrates) rows, one of those with the same signature."""
-
-    texts_in_small_batches(labelled.sparkSession)
-
-    def run(batches):
-        for batch in batches:
-            found = [_signature(w).view(np.int64) for _, _, w in pieces(batch.column("text"), lower=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(found or [np.zeros(0, np.int64)]))], ["doc_id", "same"])
-
-    signed = labelled.select("doc_id", "text").mapInArrow(run, "doc_id long, same long")
-    one = signed.groupBy("same").agg(F.min("doc_id").alias("doc_id"))
-    return labelled.join(F.broadcast(one), "doc_id").dropDuplicates(["same", "doc_id"]).select("text", "toxic", "calibrates")
+def one_of_equal_texts(labelled: DataFrame) -> DataFrame:
+    """(text, toxic, calibrates) rows, equal texts once a label; the least
+    doc_id of them stays."""
+    keyed = labelled.withColumn("same", F.sha2(F.coalesce("text", F.lit("")), 256))
+    one = keyed.groupBy("same", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    return keyed.join(F.broadcast(one), ["same", "toxic", "doc_id"]).dropDuplicates(["same", "doc_id"]).select("text", "toxic", "calibrates")
 
 
 def feature_counts(labelled: DataFrame) -> DataFrame:
@@ -234,7 +214,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
         docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
         .withColumn("calibrates", fold_of(F.col("doc_id")) == CALIBRATION_FOLD)
         .select("doc_id", "text", "toxic", "calibrates"))
-    labelled = staged(one_of_near_copies(labelled))
+    labelled = staged(one_of_equal_texts(labelled))
     counts = staged(feature_counts(labelled.where("not calibrates")))
     shares = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = shares.get(1, 0) / max(1, sum(shares.values()))

@@ -147,6 +147,14 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([r["predicted"] == r["toxic"] for r in found]) > 0.9
 
 
+def test_toxicity_learns_from_all_but_equal_texts_of_a_label(spark):
+    near = SHARED + " and an end of its own"
+    rows = [(1, SHARED, 0), (2, SHARED, 0), (3, SHARED, 1), (4, near, 0), (5, near, 1), (6, None, 0), (7, "", 0)]
+    labelled = spark.createDataFrame([(*r, False) for r in rows], "doc_id long, text string, toxic int, calibrates boolean")
+    found = toxicity.one_of_equal_texts(labelled.unionAll(labelled)).collect()
+    assert sorted((r["text"] or "", r["toxic"]) for r in found) == [("", 0), (SHARED, 0), (SHARED, 1), (near, 0), (near, 1)]
+
+
 def test_segments_are_maximal():
     scanner = toxicity.Scanner(np.zeros(0, np.uint64), np.zeros(0), -1.0)
     # scores 4 -1 -1 3 -9 2: the first two hits join, the last stands alone
