@@ -1,9 +1,11 @@
-"""N-gram Jaccard join: a blocked sparse product of documents by shingles.
+"""N-gram Jaccard join: prefix-filtered pairs of documents, verified in full.
 
 Documents are rows, five-word shingles columns of an incidence matrix A. Links
 are the cells of A * A' whose overlap reaches the bound that a Jaccard of
-``PERCENT`` sets for the two row sizes. Everything below a size-derived bound
-is discarded before its cells are formed:
+``PERCENT`` sets for the two row sizes. The product itself isn't formed, and no
+overlap counts are added up over columns: a prefix-filter join makes candidate
+pairs, and the overlap of each is the intersection of its two whole sets.
+Everything below a size-derived bound is discarded before that:
 
 * Blocks of columns (``exchange``) count in how many texts a shingle occurs. A
   text linked to another shares at least the given share of its shingles, so a
