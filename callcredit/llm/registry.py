@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callcredit.llm import bpe, ctw, divergence, host_rules, itq, licences, mixing, ngram_join, repeats, sharding, toxicity
+from callcredit.llm import bpe, ctw, divergence, host_rules, itq, licences, mixing, ngram_join, prefix_trie, quality_net, repeats, sharding, toxicity
 
-MODULES = (sharding, mixing, licences, host_rules, bpe, toxicity, repeats, ngram_join, ctw, itq, divergence)
+MODULES = (sharding, mixing, licences, host_rules, bpe, toxicity, repeats, ngram_join, ctw, itq, divergence, prefix_trie, quality_net)
 
 
 def queries() -> dict:
