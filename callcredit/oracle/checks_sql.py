@@ -4,15 +4,7 @@ from __future__ import annotations
 
 from ..functions import rules as R
 from .fixtures_sql import with_fixtures
-from .sql_base import ts
-
-DISP = "CASE WHEN response_result_2 = 'none' THEN code_disposition ELSE response_result_2 END"
-MERCHANT = """(upper({m}) LIKE '%FOODY%' OR upper({m}) LIKE '%SHOPEE%' OR upper({m}) LIKE '%LAZADA%'
-  OR upper({m}) LIKE '%TIKI%' OR (upper({m}) LIKE '%SENDO%' AND upper({m}) NOT LIKE '%SENDONGA%')
-  OR upper({m}) LIKE '%GRAB%' OR (upper({m}) LIKE '%BE GROUP%' AND upper({m}) != 'CNBENTRECTYKAYGROUP')
-  OR upper({m}) LIKE '%BAE%MIN%' OR upper({m}) LIKE '%ZALOPAY%' OR upper({m}) LIKE '%MOMO%'
-  OR upper({m}) LIKE '%GOOGLE%' OR upper({m}) LIKE '%APPLE.COM/BILL%' OR upper({m}) LIKE '%NETFLIX%'
-  OR upper({m}) LIKE '%TRAVELOKA%' OR upper({m}) LIKE '%AGODA%' OR upper({m}) LIKE '%BOOKING%COM%')"""
+from .sql_base import MERCHANTS, OUTCOME as DISP, listed, ts
 
 
 def _q(body: str, *ctes: str) -> str:
@@ -149,12 +141,12 @@ FROM call_log GROUP BY strftime(time_of_call_start, '%Y-%m'), resource_name"""),
         "a03_account_usage": _q(f"""
 SELECT skp_card_account, CAST(sum(amt_billing) AS DECIMAL(38,2)) AS total_amount,
        count(CASE WHEN date_transaction < {ts(rules.usage_cutover)} THEN date_transaction
-                  WHEN date_transaction >= {ts(rules.usage_cutover)} AND {MERCHANT.format(m='name_card_acceptor')}
+                  WHEN date_transaction >= {ts(rules.usage_cutover)} AND {listed('name_card_acceptor')}
                   THEN date_transaction END) AS num_transaction,
        min(date_transaction) AS first_usage_date, count(date_transaction) AS total_transaction
 FROM (SELECT DISTINCT skp_card_account, name_card_acceptor, amt_billing, date_transaction
       FROM card_txn WHERE code_card_transaction_group = 'WITHDRAWAL') t
-GROUP BY skp_card_account"""),
+GROUP BY skp_card_account""", MERCHANTS),
         "f13_call_rules": _q(f"""
 SELECT call_id, {DISP} AS disposition, lower(coalesce(code_disposition, response_result_2)) AS signed,
        CASE WHEN call_list_gen = 'SAS_TLS_OUTBOUND_CCX_USAGE_PUSH' THEN '1st call' END AS first_label,
@@ -201,13 +193,13 @@ SELECT num_apl_contract,
 FROM crm_appl"""),
         "f19_merchant_rules": _q(f"""
 SELECT skp_card_account, date_transaction, name_card_acceptor, amt_billing,
-       {MERCHANT.format(m='name_card_acceptor')} AS whitelisted,
+       {listed('name_card_acceptor')} AS whitelisted,
        CASE WHEN date_transaction < {cut} THEN date_transaction
-            WHEN date_transaction >= {cut} AND {MERCHANT.format(m='name_card_acceptor')} THEN date_transaction
+            WHEN date_transaction >= {cut} AND {listed('name_card_acceptor')} THEN date_transaction
        END AS counted_at,
        (code_card_transaction_group = 'WITHDRAWAL' AND skp_card_transaction_type = '1711699'
         AND code_status != 'n') AS bnpl_withdrawal
-FROM card_txn"""),
+FROM card_txn""", MERCHANTS),
         "f20_flag_rules": _q(f"""
 SELECT contract_code,
        CASE WHEN product_code LIKE '%VC%' AND sign_date BETWEEN {ts(rules.promo_start)} AND {ts(rules.promo_end)}

@@ -30,19 +30,26 @@ def _numbered(df: DataFrame, count_col: str, user: F.Column, product: str, as_of
                       F.col(count_col).alias("num_transaction"))
 
 
-def campaign_bonus(usage_bonus_df: DataFrame, bnpl_bonus_df: DataFrame | None, as_of,
+def _payable(as_of) -> F.Column:
+    since = month_text(months_back_start(as_of, 2))
+    return (F.col("bonus_mth") >= since) & F.col("username").isNotNull() & (F.col("flag_usage") == 1)
+
+
+def card_bonus(usage_bonus_df: DataFrame, as_of) -> DataFrame:
+    """Flagged card rows of the last two months with per-month campaign ids."""
+    return _numbered(usage_bonus_df.where(_payable(as_of)), "num_transaction", F.col("username"), R.CARD_PRODUCT, as_of)
+
+
+def bnpl_bonus(bnpl_bonus_df: DataFrame, as_of) -> DataFrame:
+    """Flagged BNPL rows, in the same layout."""
+    return _numbered(bnpl_bonus_df.where(_payable(as_of)), "total_transaction", F.lower("username"), R.BNPL_PRODUCT, as_of)
+
+
+def campaign_bonus(usage_bonus_df: DataFrame, bnpl_bonus_df: DataFrame, as_of,
                    rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
-    """Flagged rows of the last two months with per-month campaign ids.
+    """Card and BNPL rows together.
 
-    Card and BNPL rows are numbered separately (both restart at 1 per month
-    and share the id prefix, as in the source); the key is (product_gr, camp_id).
+    They are numbered separately (both restart at 1 per month and share the id
+    prefix, as in the source); the key is (product_gr, camp_id).
     """
-    since = month_text(months_back_start(as_of, 2))
-    payable = (F.col("bonus_mth") >= since) & F.col("username").isNotNull() & (F.col("flag_usage") == 1)
-    card = _numbered(usage_bonus_df.where(payable), "num_transaction", F.col("username"),
-                     R.CARD_PRODUCT, as_of)
-    if bnpl_bonus_df is None:
-        return card
-    bnpl = _numbered(bnpl_bonus_df.where(payable), "total_transaction", F.lower("username"),
-                     R.BNPL_PRODUCT, as_of)
-    return union_all(card, bnpl)
+    return union_all(card_bonus(usage_bonus_df, as_of), bnpl_bonus(bnpl_bonus_df, as_of))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.rules import TEST_AS_OF, TEST_BACKFILL_RULES, TEST_CUTOVER_RULES, TEST_RULES
 from ..session import apply_session_conf, ensure_checkpoint_dir
 from ..sources.fixtures import load_inputs
-from . import campaign, checks, connect, contract, lead, mobile, usage_bonus, usage_calls
+from . import campaign, checks, connect, contract, lead, loads, mobile, usage_bonus, usage_calls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,6 +128,8 @@ def queries() -> dict[str, Query]:
         "x01_date_rules": _mart(checks.date_rules),
         "x15_campaign_rules": _mart(checks.campaign_rules),
         "q06_validity_overlaps": _mart(checks.agent_validity_overlaps),
+        # load modes and the refresh
+        **loads.QUERIES,
     }
 
 
@@ -136,6 +138,7 @@ def oracle_sql() -> dict[str, str]:
     from ..functions.rules import TEST_BACKFILL_RULES, TEST_CUTOVER_RULES
     from ..oracle import bonus_sql as B
     from ..oracle import checks_sql as C
+    from ..oracle import loads_sql as L
     from ..oracle import usage_sql as U
     a, r = TEST_AS_OF, TEST_RULES
     return {
@@ -159,4 +162,5 @@ def oracle_sql() -> dict[str, str]:
         "m11_usage_bonus_cutover": B.usage_bonus_sql(a, TEST_CUTOVER_RULES),
         "m04_sending_lead_14_days": A.sending_lead_sql(a, r, days=14),
         **C.checks_sql(a, r),
+        **L.loads_sql(loads.EARLIER, a, r),
     }

@@ -37,7 +37,7 @@ def test_replace_window(spark):
 def test_full_refresh_and_append(spark):
     path = tempfile.mkdtemp(prefix="cc-sink-") + "/t"
     sinks.full_refresh(_df(spark, [("a", 1)]), path)
-    sinks.append_rows(_df(spark, [("b", 2)]), path)
+    assert sinks.append_rows(_df(spark, [("b", 2)]), path, "b") == 1
     assert rows(sinks.read_table(spark, path), "month", "v") == [("a", 1), ("b", 2)]
     sinks.full_refresh(_df(spark, [("c", 3)]), path)
     assert rows(sinks.read_table(spark, path), "month", "v") == [("c", 3)]
