@@ -1,17 +1,16 @@
-"""N-gram Jaccard join: prefix-filtered pairs of documents, verified in full.
+"""N-gram Jaccard join: blocks of a sparse matrix product.
 
 Documents are rows, five-word shingles columns of an incidence matrix A. Links
 are the cells of A * A' whose overlap reaches the bound that a Jaccard of
-``PERCENT`` sets for the two row sizes. The product itself isn't formed, and no
-overlap counts are added up over columns: a prefix-filter join makes candidate
-pairs, and the overlap of each is the intersection of its two whole sets.
-Everything below a size-derived bound is discarded before that:
+``PERCENT`` sets for the two row sizes. Cells below that bound are discarded as
+early as sizes allow:
 
 * Blocks of columns (``exchange``) count in how many texts a shingle occurs. A
   text linked to another shares at least the given share of its shingles, so a
   text with more shingles of its own has no link and leaves.
-* A row keeps the columns of a prefix, from its rarest shingle on, so long that
-  linked rows share one (Chaudhuri, Ganti and Kaushik, 2006).
+* A row looks for partners in the columns of a prefix only, from its rarest
+  shingle on, so long that linked rows share one (Chaudhuri, Ganti and Kaushik,
+  2006). Columns with the same rows count once.
 * Two rows of sizes a and b whose shingles shared with anyone number s and t
   overlap in min(s, t) at most, which must reach the bound for a and b. The
   same holds for the sum of these minima over CLASSES classes of shingles.
@@ -19,22 +18,31 @@ Everything below a size-derived bound is discarded before that:
 Within a column, rows are first multiplied with the most central one only (the
 one with the fewest shingles of its own); what links is joined to components.
 Then rows outside the column's largest component are multiplied with the rows
-of other components, once a pair, if their prefixes still allow the overlap.
-So a group of near copies costs rows in proportion to its size, not its square,
-and no link between components is missed. Overlaps of the pairs left are
-counted in full.
+of other components. So a group of near copies costs rows in proportion to its
+size, not its square, and no link between components is missed.
+
+Of columns of at most SMALL rows, the pairs still possible are intersected one
+by one. Longer columns are dealt out in blocks of BLOCK rows, in order of size,
+and a pair of blocks whose sizes allow a link is multiplied in one task
+(``overlaps``): overlap counts of all its row pairs are added up over the
+columns that both blocks have, columns with many rows 64 at a time as bits, the
+others pair by pair of their few rows, and compared with the bound.
+That is exact, needs BLOCK * BLOCK counts and two blocks' sets, and costs some
+nanoseconds a pair, but still every pair of blocks: rows that share a column and
+never link have no shorter exact way here.
 
 Texts with equal shingle sets are one row. Defined results: a text without
 words (null, empty) has 0 shingles and no links, its component is its own
-doc_id; ties and repeated rows share a component; rows without doc_id take the
-least doc_id of their component, if any; empty tables give no rows; other
-columns are not carried.
+doc_id; a very long text is one row with a long set, whole; ties and repeated
+rows share a component; rows without doc_id take the least doc_id of their
+component, if any; empty tables give no rows; other columns are not carried.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,10 +51,14 @@ from callcredit.llm.exchange import Answers, Corpus, ask, distinct_flagged, shor
 from callcredit.llm.repeats import _column
 from callcredit.llm.storage import documents, staged
 from callcredit.llm.words import Words, mixed, pieces
+from callcredit.operators.windows import sequence_ids
 
 SHINGLE = 5
 PERCENT = 80
 CLASSES = 64
+SMALL = 48
+BLOCK = 512
+DENSE_PAIRS = 512
 
 
 def _shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,26 +151,127 @@ def _central_pairs(cells: DataFrame, percent: int) -> DataFrame:
         .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
 
 
-def _cross_pairs(cells: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that meet in a column, each from the first
-    column of both prefixes, if the overlap is still possible there."""
-    counts = cells.groupBy("column", "component").agg(F.count("*").alias("n"))
-    largest = counts.groupBy("column").agg(F.max(F.struct("n", "component")).alias("l"), F.count("*").alias("k")).where("k > 1") \
-        .select("column", F.col("l.component").alias("largest"))
-    mixed_cells = cells.join(largest, "column").join(rows.select("key", "prefix", "classes"), "key")
-    me = F.struct("key", "size", "shared", "component", "prefix", "classes")
+def _mixed_columns(cells: DataFrame) -> DataFrame:
+    """(column, n, largest): columns whose rows are of several components, the
+    least of those with the same rows, and the component with the most rows."""
+    counts = cells.groupBy("column", "component").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.sum(F.xxhash64(F.lit(1), "key").cast("decimal(20,0)")).alias("s"))
+    columns = counts.groupBy("column").agg(
+        F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("k"), F.sum("n").alias("n"),
+        F.bit_xor("x").alias("x"), F.sum("s").alias("s"))
+    return columns.where("k > 1").groupBy("n", "x", "s").agg(F.min(F.struct("column", "largest")).alias("c")).select("c.column", "n", "c.largest")
+
+
+def _cross_pairs(cells: DataFrame, columns: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that meet in a short column, each from the
+    first column of both prefixes or its equal, if the overlap is still possible there."""
+    mixed_cells = cells.join(columns, "column").join(rows.select("key", "prefix", "classes"), "key")
+    me = F.struct("key", "size", "shared", "component", "classes")
     few = mixed_cells.where(F.col("component") != F.col("largest")).select("column", "largest", me.alias("x"))
     every = mixed_cells.select("column", me.alias("y"))
-    together = F.array_intersect("x.prefix", "y.prefix")
     once = (F.col("y.component") == F.col("largest")) | (F.col("x.key") < F.col("y.key"))
     by_class = F.aggregate(F.zip_with("x.classes", "y.classes", lambda m, n: F.least(m, n)), F.lit(0), lambda total, n: total + n)
     return (
         few.join(every, "column")
         .where((F.col("x.component") != F.col("y.component")) & once & _can_overlap("x", "y", percent)
-               & (F.array_min(together) == F.col("column")) & _can_overlap("x", "y", percent, by_class))
+               & _can_overlap("x", "y", percent, by_class))
         .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
 
 
+def overlaps(sets_x: list[np.ndarray], sets_y: list[np.ndarray]) -> np.ndarray:
+    """The product of two blocks: shared columns of every row of x and of y."""
+    x, y = np.concatenate(sets_x), np.concatenate(sets_y)
+    row_x, row_y = (np.repeat(np.arange(len(s)), [len(r) for r in s]) for s in (sets_x, sets_y))
+    total = np.zeros((len(sets_x), len(sets_y)), np.int32)
+    both = np.intersect1d(x, y)
+    if not len(both):
+        return total
+
+    def of_both(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Column, row, and rows a column of the cells in columns of both blocks, by column."""
+        at = np.minimum(np.searchsorted(both, values), len(both) - 1)
+        kept = both[at] == values
+        at, rows = at[kept], rows[kept]
+        order = np.argsort(at, kind="stable")
+        return at[order], rows[order], np.bincount(at, minlength=len(both))
+
+    (cx, rx, nx), (cy, ry, ny) = of_both(x, row_x), of_both(y, row_y)
+    dense = nx * ny >= DENSE_PAIRS
+    slabs = np.flatnonzero(dense)
+    for at in range(0, len(slabs), 64):
+        part = slabs[at:at + 64]
+        bit = np.zeros(len(both), np.uint64)
+        bit[part] = np.uint64(1) << np.arange(len(part), dtype=np.uint64)
+        words = []
+        for c, r, n in ((cx, rx, len(sets_x)), (cy, ry, len(sets_y))):
+            word = np.zeros(n, np.uint64)
+            np.bitwise_or.at(word, r, bit[c])
+            words.append(word)
+        total += np.bitwise_count(words[0][:, None] & words[1][None, :])
+    # A cell of x meets all cells of y in its column, which lie together.
+    light = ~dense[cx]
+    times = ny[cx[light]]
+    first = (np.cumsum(ny) - ny)[cx[light]]
+    step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+    np.add.at(total.reshape(-1), np.repeat(rx[light], times) * len(sets_y) + ry[np.repeat(first, times) + step], 1)
+    return total
+
+
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    found = pa.concat_arrays(column.chunks)
+    values, ends = found.values.to_numpy(zero_copy_only=False), found.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
+    """One link (a, b) for any two components with a linked pair of rows in a pair of blocks."""
+    sides = [table.filter(pc.equal(table.column("side"), side)) for side in (0, 1)]
+    a, b = [], []
+    if all(s.num_rows for s in sides):
+        sets = [_lists(s.column("set")) for s in sides]
+        size = [s.column("size").to_numpy() for s in sides]
+        names = sorted({*sides[0].column("component").to_pylist(), *sides[1].column("component").to_pylist()})
+        number = {c: i for i, c in enumerate(names)}
+        part = [np.array([number[c] for c in s.column("component").to_pylist()]) for s in sides]
+        # overlap * 100 >= (m + n - overlap) * percent
+        shared = overlaps(*sets)
+        i, j = np.nonzero(shared >= (size[0].min() + size[1].min()) * percent // (100 + percent))
+        linked = shared[i, j].astype(np.int64) * (100 + percent) >= (size[0][i] + size[1][j]) * percent
+        i, j = i[linked], j[linked]
+        apart = part[0][i] != part[1][j]
+        i, j = i[apart], j[apart]
+        one = np.unique(part[0][i] * len(names) + part[1][j], return_index=True)[1]
+        a = [sides[0].column("key")[int(k)].as_py() for k in i[one]]
+        b = [sides[1].column("key")[int(k)].as_py() for k in j[one]]
+    return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+
+
+def _blocks(cells: DataFrame, side: int) -> DataFrame:
+    """``cells`` with their block of BLOCK rows of a column, in order of size."""
+    numbered = sequence_ids(cells, ["column"], [F.asc("size"), F.asc("key")], "n")
+    return numbered.select("column", "key", "size", "component", F.lit(side).alias("side"), F.expr(f"(n - 1) div {BLOCK}").alias("block"))
+
+
+def _product_links(cells: DataFrame, columns: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links between different components whose rows meet in a long column."""
+    cells = cells.select("column", "key", "size", "component").join(columns, "column")
+    every = staged(_blocks(cells.drop("largest"), 1))
+    few = staged(_blocks(cells.where(F.col("component") != F.col("largest")).drop("largest"), 0))
+
+    def ranges(blocks: DataFrame, name: str) -> DataFrame:
+        return blocks.groupBy("column", F.col("block").alias(name)).agg(F.min("size").alias(f"{name}_least"), F.max("size").alias(f"{name}_most"))
+
+    # Rows of sizes m <= n overlap in m at most, so m * 100 must reach n * percent.
+    pairs = staged(ranges(few, "x").join(ranges(every, "y"), "column").where(
+        (F.col("x_most") * 100 >= F.col("y_least") * percent) & (F.col("y_most") * 100 >= F.col("x_least") * percent)).select("column", "x", "y"))
+    # Pairs of blocks are few bytes and much work: they are dealt to all tasks.
+    tasks = max(1, min(pairs.count(), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    members = few.join(pairs.withColumnRenamed("x", "block"), ["column", "block"]).withColumnRenamed("block", "x").unionByName(
+        every.join(pairs.withColumnRenamed("y", "block"), ["column", "block"]).withColumnRenamed("block", "y"))
+    return members.join(rows.select("key", "set"), "key").repartition(tasks, "column", "x", "y").groupBy("column", "x", "y").applyInArrow(
+        lambda table: _block_links(table, percent), "a string, b string")
+
+
 def linked_components(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(key, component) of stored texts that have links; component is a key."""
     sets = rows.where("set is not null").withColumn("same", F.sha2(F.array_join(F.col("set").cast("array<string>"), ","), 256))
@@ -168,8 +281,12 @@ def linked_components(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     cells = apart.select("key", "size", "shared", F.explode("prefix").alias("column"))
     links = staged(_linked(_central_pairs(cells, percent), apart, percent))
     found = components(links, "a", "b")
-    labelled = cells.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    late = staged(_linked(_cross_pairs(labelled, apart, percent), apart, percent))
+    labelled = staged(cells.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")))
+    columns = staged(_mixed_columns(labelled))
+    short_columns, long_columns = columns.where(F.col("n") <= SMALL).drop("n"), columns.where(F.col("n") > SMALL).drop("n")
+    late = staged(_linked(_cross_pairs(labelled, short_columns, apart, percent), apart, percent))
+    if not long_columns.isEmpty():
+        late = late.unionByName(staged(_product_links(labelled, long_columns, apart, percent)))
     copies = placed.where("key != first").select(F.col("key").alias("a"), F.col("first").alias("b"))
     return components(links.unionByName(late).unionByName(copies), "a", "b").withColumnRenamed("node", "key")
 
