@@ -79,6 +79,63 @@ def first_in_group(df: DataFrame, keys: list[str], col: str, name: str,
     return df.join(agg, cond, "left").drop(*[f"_g_{k}" for k in keys])
 
 
+def next_event(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], left_ts: str, right_ts: str, carry=()) -> DataFrame:
+    """Each row of ``left`` with the first row of ``right`` after it (J15 + W4):
+    of the same key, ``right_ts`` later than ``left_ts``, the least by the
+    ``carry`` columns (NULL last) if several have that time. Rows without one are
+    dropped. ``keys`` are (left, right) column names.
+
+    Both sides become one stream of events a key, read once from the latest to
+    the earliest with the next right event at hand, so the cost is linear in a
+    key's events; no pairs are formed. Right rows of one time are merged before
+    the shuffle. Rows with a NULL key or time match nothing.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    own, other = [F.col(a) for a, _ in keys], [F.col(b) for _, b in keys]
+    for c in [*own, F.col(left_ts)]:
+        left = left.where(c.isNotNull())
+    for c in [*other, F.col(right_ts)]:
+        right = right.where(c.isNotNull())
+    nulls_last = [x for c in carry for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(c))]
+    payload = [c for c in left.columns if c not in {a for a, _ in keys} | {left_ts}]
+    events = right.groupBy(*[c.alias(n) for c, n in zip(other, names, strict=True)], F.col(right_ts).alias("_ts")).agg(
+        F.min(F.struct(F.col(right_ts).alias(right_ts), *nulls_last)).alias("_event"))
+    rows = left.select(*[c.alias(n) for c, n in zip(own, names, strict=True)], F.col(left_ts).alias("_ts"),
+                       F.struct(F.lit(1).alias("_left"), *payload).alias("_row"))
+    stream = events.unionByName(rows, allowMissingColumns=True)
+    # Latest first; a right event of the same time comes after the left rows, so they don't see it.
+    seen = Window.partitionBy(*names).orderBy(F.desc("_ts"), F.col("_event").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = stream.withColumn("_next", F.last("_event", ignorenulls=True).over(seen)).where(F.col("_row").isNotNull() & F.col("_next").isNotNull())
+    return met.select(
+        *[F.col(n).alias(a) for n, (a, _) in zip(names, keys, strict=True)], F.col("_ts").alias(left_ts),
+        *[F.col(f"_row.{c}").alias(c) for c in payload], F.col(f"_next.{right_ts}").alias(right_ts), *[F.col(f"_next.{c}").alias(c) for c in carry])
+
+
+def later_within_days(df: DataFrame, key: str, ts: str, days: int, name: str) -> DataFrame:
+    """For every instant of a key: how many rows of the key are later and before
+    the ``days``-th day after the instant's day begins (J10), as (key, ts, name).
+
+    The limit is a midnight, so these are the rest of the instant's own day and
+    the whole days after it: a day's total less a running count, and sums of day
+    totals. Rows of an instant are counted before the shuffle, a running count
+    goes over the instants of one key and day, and no pairs are formed.
+    """
+    instants = (
+        df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_day", F.to_date(ts)))
+    totals = instants.groupBy(key, "_day").agg(F.sum("_n").alias("_total"))
+    ahead = (
+        totals.select(F.col(key).alias("_a"), F.explode(F.transform(F.sequence(F.lit(1), F.lit(days - 1)), lambda i: F.date_sub("_day", i))).alias("_d"), "_total")
+        .groupBy("_a", "_d").agg(F.sum("_total").alias("_ahead")) if days > 1 else None)
+    whole = Window.partitionBy(key, "_day")
+    upto = whole.orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rest = instants.withColumn("_rest", F.sum("_n").over(whole) - F.sum("_n").over(upto))
+    if ahead is None:
+        return rest.select(key, ts, F.col("_rest").alias(name))
+    joined = rest.join(ahead, (F.col(key) == F.col("_a")) & (F.col("_day") == F.col("_d")), "left")
+    return joined.select(key, ts, (F.col("_rest") + F.coalesce("_ahead", F.lit(0))).alias(name))
+
+
 def sequence_ids(df: DataFrame, keys: list[str], order: list[Column], name: str, slices: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order)``, distributed.
 

@@ -92,6 +92,19 @@ LEFT JOIN contract_dim t2 ON b.contract_code = t2.text_contract_number
 LEFT JOIN card_account t3 ON t3.skp_contract = t2.skp_contract
 LEFT JOIN card_txn t4 ON t3.skp_card_account = t4.skp_card_account
  AND t4.code_card_transaction_group = 'WITHDRAWAL' AND t4.dtime_auth_transaction >= b.sign_date"""),
+        "j13_laid_out_usage": _q(f"""
+SELECT contract_code, sign_date, count(DISTINCT dtime_auth_transaction) AS n_times, sum(amt_billing)::DECIMAL(38, 2) AS amount
+FROM (SELECT DISTINCT contract_code, sign_date FROM card_bonus) JOIN contract_dim ON text_contract_number = contract_code
+JOIN card_account USING (skp_contract) JOIN card_txn USING (skp_card_account)
+WHERE code_card_transaction_group = 'WITHDRAWAL' AND dtime_auth_transaction >= sign_date
+  AND greatest(dtime_auth_transaction, date_transaction) >= {ts(rules.earliest_sign)}
+GROUP BY ALL"""),
+        "j15_next_calls": _q("""
+SELECT card.contract_code, card.cuid, card.sign_date, min(called.time_of_call_start) AS time_of_call_start,
+       arg_min(call_id, (called.time_of_call_start, call_id)) AS call_id
+FROM (SELECT row_number() OVER () AS r, * FROM card_bonus) AS card
+JOIN call_disp AS called ON try_cast(called.cuid AS BIGINT) = card.cuid AND called.time_of_call_start > card.sign_date
+GROUP BY r, card.contract_code, card.cuid, card.sign_date"""),
         "j16_contracts_without_usage": _q("""
 SELECT b.contract_code, b.cuid FROM card_bonus b
 WHERE NOT EXISTS (SELECT 1 FROM contract_dim t2

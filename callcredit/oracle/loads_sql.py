@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import attribution_sql as A
 from . import bonus_sql as B
 from . import usage_sql as U
+from .fixtures_sql import with_fixtures
 from .sql_base import day
 
 
@@ -26,6 +27,11 @@ FROM (SELECT contract_code, sign_date FROM ({sql(earlier, rules)}) WHERE sign_da
         "bnpl_usage_calls": U.push_usage_call_sql(as_of, rules, bnpl=True), "bnpl_usage_bonus": B.bnpl_bonus_sql(as_of, rules),
         "camp_bonus": B.campaign_bonus_sql(as_of, rules)}
     return {
+        "a06_state_merged": with_fixtures() + """
+SELECT contract_code, sign_date, count(DISTINCT dtime_auth_transaction) AS total_transaction
+FROM (SELECT DISTINCT contract_code, sign_date FROM card_bonus) JOIN contract_dim ON text_contract_number = contract_code
+JOIN card_account USING (skp_contract) JOIN card_txn USING (skp_card_account)
+WHERE code_card_transaction_group = 'WITHDRAWAL' AND dtime_auth_transaction >= sign_date GROUP BY ALL""",
         "k01_window_reloaded": reloaded("sending_lead", A.sending_lead_sql) + "\nUNION ALL" + reloaded("pushing_sign", A.pushing_sign_sql),
         "k02_table_refreshed": f"""
 SELECT *, 1 AS version FROM ({U.call_task_sql(earlier, rules)})

@@ -15,7 +15,8 @@ from ..operators.joins import (band_join, card_chain, card_transactions, contrac
                                restrict_to,
                                validity_join, validity_overlaps)
 from ..operators.sets import union_all, union_distinct
-from ..operators.windows import earliest_per, latest_per, sequence_ids
+from ..operators.windows import earliest_per, later_within_days, latest_per, next_event, sequence_ids
+from .usage_bonus import laid_out_withdrawals
 
 
 def validity_calls(inputs, as_of, rules) -> DataFrame:
@@ -72,14 +73,28 @@ def approval_band(inputs, as_of, rules) -> DataFrame:
 
 def callback_pairs(inputs, as_of, rules) -> DataFrame:
     """Number of later calls of the same client before the 4th day after a call."""
-    c = inputs["call_disp"]
-    first = c.select(F.col("call_id").alias("first_call_id"), F.col("cuid").alias("p_cuid"),
-                     F.col("time_of_call_start").alias("p_ts"))
-    later = c.select(F.col("call_id").alias("later_call_id"), "cuid", "time_of_call_start")
-    ts, p_ts = F.col("time_of_call_start"), F.col("p_ts")
-    cond = (F.col("cuid") == F.col("p_cuid")) & (ts > p_ts) & (ts < P.next_days(p_ts, 4))
-    j = band_join(later, first, cond, point=ts, low=p_ts, high=plus_days(day_start(p_ts), 3))
-    return j.groupBy("first_call_id").agg(F.count("later_call_id").alias("n_later"))
+    c = inputs["call_disp"].select("call_id", "cuid", "time_of_call_start")
+    counts = later_within_days(c, "cuid", "time_of_call_start", 4, "n_later").where("n_later > 0")
+    return (c.join(counts, ["cuid", "time_of_call_start"])
+            .groupBy(F.col("call_id").alias("first_call_id")).agg(F.sum("n_later").alias("n_later")))
+
+
+def next_calls(inputs, as_of, rules) -> DataFrame:
+    """J15 + W4: every card contract with its client's first call after the signature."""
+    cards = inputs["card_bonus"].select("contract_code", "cuid", "sign_date")
+    calls = inputs["call_disp"].select(F.col("cuid").try_cast("bigint").alias("_cuid"), "time_of_call_start", "call_id")
+    return next_event(cards, calls, [("cuid", "_cuid")], "sign_date", "time_of_call_start", ["call_id"])
+
+
+def laid_out_usage(inputs, as_of, rules) -> DataFrame:
+    """J13 over the laid-out withdrawals: times and money since each signature."""
+    spent = laid_out_withdrawals(inputs, rules)
+    cards = inputs["card_bonus"].select("contract_code", "sign_date").distinct()
+    met = spent.match(cards, "contract_code", F.col("dtime_auth_transaction") >= F.col("sign_date"))
+    found = met.groupBy("contract_code", "sign_date").agg(
+        F.count_distinct("dtime_auth_transaction").alias("n_times"), F.sum("amt_billing").cast("decimal(38,2)").alias("amount")).checkpoint()
+    spent.discard()
+    return found
 
 
 def active_contracts(inputs, as_of, rules) -> DataFrame:

@@ -17,6 +17,7 @@ from ..functions.rules import TEST_AS_OF, TEST_RULES
 from ..session import apply_session_conf, ensure_checkpoint_dir
 from ..sources import sinks
 from ..sources.fixtures import load_inputs
+from . import usage_state
 from .refresh import MARTS, refresh_all
 
 EARLIER = TEST_AS_OF - dt.timedelta(days=10)
@@ -73,7 +74,20 @@ def refresh_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def state_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 in M10: withdrawal times since every signature, from a state that was
+    brought up to date three times, each time with the transactions known by then."""
+    inputs, target = _start(spark, sf_dir)
+    path, t = f"{target}/times", F.col("dtime_auth_transaction")
+    for as_of in (EARLIER - dt.timedelta(days=9), EARLIER, TEST_AS_OF + dt.timedelta(days=30)):
+        known = inputs | {"card_txn": inputs["card_txn"].where(t < F.lit(str(as_of)).cast("timestamp_ntz"))}
+        times = usage_state.refresh_times(spark, known, path, as_of, TEST_RULES)
+    pairs = inputs["card_bonus"].select("contract_code", "sign_date").distinct()
+    return usage_state.times_since(pairs, times, inputs)
+
+
 QUERIES = {
+    "a06_state_merged": state_merged,
     "k01_window_reloaded": window_reloaded,
     "k02_table_refreshed": table_refreshed,
     "k03_batch_retried": batch_retried,

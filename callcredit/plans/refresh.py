@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.dates import day_floor, month_key, month_text, months_back_start
+from ..operators.layout import LaidOut
 from ..sources import sinks, versions
-from . import campaign, connect, contract, lead, mobile, usage_bonus, usage_calls
+from . import campaign, connect, contract, lead, mobile, usage_bonus, usage_calls, usage_state
 
 # Day-partitioned K1 marts store the day as text in this format.
 DAY = "yyyy-MM-dd"
 MARTS = ("connect", "connect_client", "mobile_app", "sending_lead", "pushing_sign", "call_task", "push_usage_call", "push_usage",
          "usage_before_first_push", "no_push_usage", "bonus_push_usage", "mc_contract", "bnpl_usage_calls", "bnpl_usage_bonus", "camp_bonus")
+STATE = "withdrawal_times"
 LEDGER = "mart string, version long, mode string, rows long, run string, steps array<string>, reads map<string,long>"
 
 
@@ -121,12 +123,29 @@ def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target
     days = rules.attribution_days if days is None else days
     params = repr((str(as_of), rules, days, backfill))
     job = Run(spark, target, run, params, {} if timings is None else timings, only)
+    laid: list[LaidOut] = []
+    try:
+        _steps(spark, inputs, as_of, rules, days, backfill, job, laid)
+    finally:
+        for spent in laid:
+            spent.discard()
+    return {mart: job.path(mart) for mart in MARTS}
+
+
+def _steps(spark: SparkSession, inputs: dict[str, DataFrame], as_of, rules: R.Rules, days: int, backfill: bool, job: Run,
+           laid: list[LaidOut]) -> None:
     month1 = month_text(months_back_start(as_of, 1))
     month2 = month_text(months_back_start(as_of, 2))
     attr_day = (day_floor(as_of) - dt.timedelta(days=days)).date().isoformat()
     usage_day = (day_floor(as_of) - dt.timedelta(days=rules.usage_lookback_days)).date().isoformat()
     shared: list[DataFrame] = []
 
+    def spent() -> LaidOut:
+        # One shuffle of the transactions for M8, M9 and M15, when the first of them runs.
+        if not laid:
+            laid.append(usage_bonus.laid_out_withdrawals(inputs, rules))
+        return laid[0]
+
     def kept(df: DataFrame) -> DataFrame:
         shared.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return shared[-1]
@@ -159,11 +178,16 @@ def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target
 
     job.k1("push_usage_call", window_calls, "call_day", F.date_format("time_of_call_start", DAY), lambda v: v >= usage_day)
     let_go()
-    job.k2("push_usage", lambda: usage_bonus.push_usage(inputs, job.table("push_usage_call", "call_day"), as_of, rules))
+    job.k2("push_usage", lambda: usage_bonus.push_usage(inputs, job.table("push_usage_call", "call_day"), as_of, rules, spent()))
     job.k2("usage_before_first_push",
-           lambda: usage_bonus.usage_before_first_push(inputs, job.table("push_usage"), as_of, rules))
-    job.k2("no_push_usage", lambda: usage_bonus.unrewarded_contracts(inputs, job.table("push_usage"),
-                                                                     job.table("usage_before_first_push"), as_of, rules))
+           lambda: usage_bonus.usage_before_first_push(inputs, job.table("push_usage"), as_of, rules, spent()))
+
+    def unrewarded():
+        # Counts withdrawals since 2020 from the state, which reads only the days since the last run.
+        times = usage_state.refresh_times(spark, inputs, job.path(STATE), as_of, rules)
+        return usage_bonus.unrewarded_contracts(inputs, job.table("push_usage"), job.table("usage_before_first_push"), as_of, rules, times=times)
+
+    job.k2("no_push_usage", unrewarded)
     job.k2("bonus_push_usage", lambda: usage_bonus.usage_bonus(job.table("push_usage"), job.table("usage_before_first_push"),
                                                                job.table("no_push_usage"), as_of, rules))
     job.k1("mc_contract", lambda: contract.mc_contracts(inputs, as_of, rules), "signed_month",
@@ -175,13 +199,12 @@ def refresh_all(spark: SparkSession, inputs: dict[str, DataFrame], as_of, target
 
     job.k2("bnpl_usage_calls", bnpl_calls)
     let_go()
-    job.k2("bnpl_usage_bonus", lambda: usage_bonus.bnpl_usage_bonus(inputs, job.table("bnpl_usage_calls"), as_of, rules))
+    job.k2("bnpl_usage_bonus", lambda: usage_bonus.bnpl_usage_bonus(inputs, job.table("bnpl_usage_calls"), as_of, rules, spent()))
     # Card rows replace the window, then the BNPL rows of the run are added once.
     job.k1("camp_bonus", lambda: campaign.card_bonus(job.table("bonus_push_usage"), as_of), "month_part", c("bonus_mth"),
            lambda v: v >= month2)
     job.k3("camp_bonus", "camp_bonus_bnpl", f"bnpl {as_of}", lambda: campaign.bnpl_bonus(job.table("bnpl_usage_bonus"), as_of),
            "month_part", c("bonus_mth"))
-    return {mart: job.path(mart) for mart in MARTS}
 
 
 def run_ledger(spark: SparkSession, target: str, marts: Collection[str] = MARTS) -> DataFrame:

@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _mart(fn, rules=TEST_RULES, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_session_conf(spark)
+        ensure_checkpoint_dir(spark)
         return fn(load_inputs(spark, sf_dir), TEST_AS_OF, rules, **kw)
     run.__name__ = fn.__name__
     return run
@@ -110,6 +111,8 @@ def queries() -> dict[str, Query]:
         "j11_active_contracts": _mart(checks.active_contracts),
         "j12_withdrawal_counts": _mart(checks.withdrawal_counts),
         "j12_card_withdrawals_left": _mart(checks.card_withdrawals_left),
+        "j13_laid_out_usage": _mart(checks.laid_out_usage),
+        "j15_next_calls": _mart(checks.next_calls),
         "j16_contracts_without_usage": _mart(checks.contracts_without_usage),
         "j17_roster_calls": _mart(checks.roster_calls),
         "w01_latest_call_per_client": _mart(checks.latest_call_per_client),

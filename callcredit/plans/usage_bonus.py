@@ -11,8 +11,10 @@ from ..functions import rules as R
 from ..functions.dates import day_start, month_key, plus_days, ts_lit
 from ..operators.aggregates import MONEY_SUM, usage_summary
 from ..operators.joins import card_transactions, contract_accounts, exclude_flagged, validity_join
+from ..operators.layout import LaidOut, lay_out
 from ..operators.sets import union_distinct
-from ..operators.windows import earliest_per, latest_per
+from ..operators.windows import earliest_per, latest_per, next_event
+from .usage_state import times_since
 
 PUSH_KEYS = ["product_type", "date_campaign_start", "end_apt_push_usage", "text_name_call_list",
              "code_call_list_type", "time_of_call_start", "durations", "call_type", "cuid",
@@ -30,17 +32,44 @@ def _push_rows(calls: DataFrame, rules: R.Rules) -> DataFrame:
     return push.withColumn("end_apt_push_usage", plus_days(F.col("date_campaign_start"), rules.campaign_days))
 
 
-def _push_usage(inputs, calls: DataFrame, as_of, rules: R.Rules, bnpl: bool) -> DataFrame:
+SPENT = ["name_card_acceptor", "amt_billing", "dtime_auth_transaction", "date_transaction", "skp_card_transaction_type", "code_status"]
+
+
+def laid_out_withdrawals(inputs, rules: R.Rules = R.DEFAULT_RULES, buckets: int | None = None) -> LaidOut:
+    """All withdrawals since the earliest signature with their contracts, laid out
+    by contract. M8, M9, M10 and M15 match them there instead of going through
+    contract, account and transactions each for itself (J12, J13).
+
+    M8's and M15's windows start after a call, so they need nothing before the
+    earliest signature either, as long as calls are later than that.
+    """
+    since = ts_lit(rules.earliest_sign)
+    recent = (F.col("dtime_auth_transaction") >= since) | (F.col("date_transaction") >= since)
+    txn = (inputs["card_txn"].where((F.col("code_card_transaction_group") == R.WITHDRAWAL) & recent)
+           .select(F.col("skp_card_account").alias("_txn_account"), *SPENT))
+    accounts = contract_accounts(inputs["contract_dim"].select(F.col("text_contract_number").alias("contract_code")),
+                                 "contract_code", inputs["contract_dim"], inputs["card_account"])
+    found = accounts.join(txn, F.col("skp_card_account") == F.col("_txn_account"))
+    return lay_out(found.select(F.col("contract_code").alias("spent_contract"), *SPENT), "spent_contract", buckets)
+
+
+def _spent(inputs, spent: LaidOut | None, left: DataFrame, cond: F.Column, txn_filter: F.Column, columns: list[str], **bucket) -> DataFrame:
+    """Withdrawals of the contracts of ``left`` that satisfy ``cond``: from the
+    laid-out table, or through the accounts."""
+    if spent is not None:
+        return spent.match(left, "contract_code", cond & txn_filter)
+    txn = inputs["card_txn"].where((F.col("code_card_transaction_group") == R.WITHDRAWAL) & txn_filter).select("skp_card_account", *columns)
+    return card_transactions(contract_accounts(left, "contract_code", inputs["contract_dim"], inputs["card_account"]), txn, cond, **bucket)
+
+
+def _push_usage(inputs, calls: DataFrame, as_of, rules: R.Rules, bnpl: bool, spent: LaidOut | None = None) -> DataFrame:
     push = _push_rows(calls, rules)
-    txn = inputs["card_txn"]
     if bnpl:
         t = "date_transaction"
-        txn = txn.where((F.col("code_card_transaction_group") == R.WITHDRAWAL)
-                        & (F.col("skp_card_transaction_type") == R.BNPL_TXN_TYPE)
-                        & (F.col("code_status") != R.BNPL_REJECTED_STATUS))
+        kept = (F.col("skp_card_transaction_type") == R.BNPL_TXN_TYPE) & (F.col("code_status") != R.BNPL_REJECTED_STATUS)
     else:
         t = "dtime_auth_transaction"
-        txn = txn.where(F.col("code_card_transaction_group") == R.WITHDRAWAL)
+        kept = F.lit(True)
     # Exact bounds for the scan, implied by the join condition: every window
     # starts after a call of the table and ends at most 9 days (BNPL: 8 days)
     # after the latest campaign start (first call). They are lazy scalar
@@ -50,24 +79,23 @@ def _push_usage(inputs, calls: DataFrame, as_of, rules: R.Rules, bnpl: bool) ->
         high = calls.select(F.max(plus_days(F.col("time_of_call_start"), rules.bnpl_window_days))).scalar()
     else:
         high = calls.select(F.max(plus_days(F.col("date_campaign_start"), rules.campaign_days + 1))).scalar()
-    txn = txn.where((F.col(t) > low) & (F.col(t) <= high)).select(
-        "skp_card_account", "name_card_acceptor", "amt_billing", t)
+    kept = kept & (F.col(t) > low) & (F.col(t) <= high)
 
     # 1) withdrawals of each contact's contract in its window, collapsed and summed
     keyed = push.where(F.col("contract_code").isNotNull()).select(
         F.col("il_communication_id").alias("_k"), "contract_code", "call_1st", "end_apt_push_usage",
         "apl_sign_dtm")
-    acc = contract_accounts(keyed, "contract_code", inputs["contract_dim"], inputs["card_account"])
+    columns = ["name_card_acceptor", "amt_billing", t]
     tc, first = F.col(t), F.col("call_1st")
     if bnpl:
         upper = plus_days(first, rules.bnpl_window_days)
         cond = (tc > first) & (tc <= upper) & (tc >= F.col("apl_sign_dtm"))
         # fixed-width window: bucket by day so a busy account is split by day
-        matched = card_transactions(acc, txn, cond, point=tc, low=first, high=upper, point_side="right")
+        matched = _spent(inputs, spent, keyed, cond, kept, columns, point=tc, low=first, high=upper, point_side="right")
     else:
         cond = ((tc > first) & (tc <= plus_days(F.col("end_apt_push_usage"), 1))
                 & (tc >= F.col("apl_sign_dtm")))
-        matched = card_transactions(acc, txn, cond)
+        matched = _spent(inputs, spent, keyed, cond, kept, columns)
     count_name = "num_transaction_18" if bnpl else "num_transaction"
     summary = usage_summary(matched, ["_k"], "amt_billing", t, "name_card_acceptor", rules.usage_cutover,
                             total="count" if bnpl else "distinct", count_name=count_name)
@@ -88,18 +116,18 @@ def _push_usage(inputs, calls: DataFrame, as_of, rules: R.Rules, bnpl: bool) ->
         total.cast("bigint").alias("total_transaction"))
 
 
-def push_usage(inputs, push_calls: DataFrame, as_of, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
+def push_usage(inputs, push_calls: DataFrame, as_of, rules: R.Rules = R.DEFAULT_RULES, spent: LaidOut | None = None) -> DataFrame:
     """M8: usage after the push per campaign contact (reads the M7 table)."""
-    out = _push_usage(inputs, push_calls, as_of, rules, bnpl=False)
+    out = _push_usage(inputs, push_calls, as_of, rules, False, spent)
     return out.select("product_type", "date_campaign_start", "end_apt_push_usage", "text_name_call_list",
                       "code_call_list_type", "time_of_call_start", "durations", "call_type", "cuid",
                       "il_communication_id", "call_id", "username", "total_amount", "num_transaction",
                       "first_usage_date", "contract_code", "apl_sign_dtm", "team", "total_transaction")
 
 
-def bnpl_usage_bonus(inputs, bnpl_calls: DataFrame, as_of, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
+def bnpl_usage_bonus(inputs, bnpl_calls: DataFrame, as_of, rules: R.Rules = R.DEFAULT_RULES, spent: LaidOut | None = None) -> DataFrame:
     """BNPL usage in the 8 days after the first call, with the BNPL flag."""
-    u = _push_usage(inputs, bnpl_calls, as_of, rules, bnpl=True)
+    u = _push_usage(inputs, bnpl_calls, as_of, rules, True, spent)
     return u.select(
         "date_campaign_start", "end_apt_push_usage", "text_name_call_list", "time_of_call_start",
         "durations", "call_type", F.col("cuid").cast("string").alias("cuid"), "contract_code",
@@ -114,34 +142,27 @@ def _signed_cards(inputs, rules: R.Rules) -> DataFrame:
                                       & ~F.col("name_credit_status").isin(R.CANCELLED))
 
 
-def _withdrawals(inputs, ts_col: str, since) -> DataFrame:
-    return (inputs["card_txn"]
-            .where((F.col("code_card_transaction_group") == R.WITHDRAWAL) & (F.col(ts_col) >= ts_lit(since)))
-            .select("skp_card_account", "name_card_acceptor", "amt_billing", ts_col))
-
-
 BF_KEYS = ["contract_code", "name_credit_status", "cuid", "apt_date", "apt_user", "apt_team", "sign_date",
            "product_code", "time_of_call_start", "total_transaction"]
 
 
 def usage_before_first_push(inputs, push_usage_df: DataFrame, as_of,
-                            rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
+                            rules: R.Rules = R.DEFAULT_RULES, spent: LaidOut | None = None) -> DataFrame:
     """M9: withdrawals between signing and the client's first later push."""
     c = _signed_cards(inputs, rules).select("contract_code", "name_credit_status", "cuid", "apt_date",
                                             "apt_user", "apt_team", "sign_date", "product_code")
     p = push_usage_df.select(F.col("cuid").try_cast("bigint").alias("_p_cuid"), "time_of_call_start",
                              "total_transaction")
-    j = c.join(p, (F.col("cuid") == F.col("_p_cuid")) & (F.col("sign_date") < F.col("time_of_call_start")))
-    first = earliest_per(j, ["cuid", "sign_date"], "time_of_call_start",
-                         ties=["contract_code", "name_credit_status", "apt_date", "apt_user", "apt_team",
-                               "product_code", "total_transaction"]).drop("_p_cuid")
-    acc = contract_accounts(first, "contract_code", inputs["contract_dim"], inputs["card_account"])
+    # A client's cards of one signature share the push: the least card stands for them.
+    card = earliest_per(c, ["cuid", "sign_date"], "contract_code",
+                        ties=["name_credit_status", "apt_date", "apt_user", "apt_team", "product_code"])
+    first = next_event(card, p, [("cuid", "_p_cuid")], "sign_date", "time_of_call_start", ["total_transaction"])
     t = "dtime_auth_transaction"
     tc = F.col(t)
     # every window ends before a push of the table: an exact upper bound for the scan
     latest_push = push_usage_df.select(F.max("time_of_call_start")).scalar()
-    txn = _withdrawals(inputs, t, rules.earliest_sign).where(tc < latest_push)
-    matched = card_transactions(acc, txn, (tc >= F.col("sign_date")) & (tc < F.col("time_of_call_start")))
+    matched = _spent(inputs, spent, first, (tc >= F.col("sign_date")) & (tc < F.col("time_of_call_start")),
+                     (tc >= ts_lit(rules.earliest_sign)) & (tc < latest_push), ["name_card_acceptor", "amt_billing", t])
     agg = usage_summary(matched, BF_KEYS, "amt_billing", t, "name_card_acceptor", rules.usage_cutover,
                         total=None)
     return agg.select("contract_code", "name_credit_status", "cuid", "apt_date", "apt_user", "apt_team",
@@ -154,8 +175,9 @@ NP_KEYS = ["contract_code", "sign_date", "cuid", "apt_user", "t_amount_usage_bon
 
 
 def unrewarded_contracts(inputs, push_usage_df: DataFrame, before_push: DataFrame, as_of,
-                         rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
-    """Signed card contracts with no flagged push, with their withdrawal count."""
+                         rules: R.Rules = R.DEFAULT_RULES, spent: LaidOut | None = None, times: DataFrame | None = None) -> DataFrame:
+    """Signed card contracts with no flagged push, with their withdrawal count:
+    from the state of withdrawal ``times``, or by counting the withdrawals."""
     having_push = union_distinct(
         push_usage_df.select("contract_code",
                              P.usage_flag(F.col("product_type").like("%VC%"), F.col("date_campaign_start"),
@@ -169,12 +191,13 @@ def unrewarded_contracts(inputs, push_usage_df: DataFrame, before_push: DataFram
     base = exclude_flagged(_signed_cards(inputs, rules), flagged, "contract_code").select(*NP_KEYS).distinct()
     # count(distinct withdrawal time) depends only on (contract, sign date): count per pair, attach.
     pairs = base.select("contract_code", "sign_date").distinct()
-    acc = contract_accounts(pairs, "contract_code", inputs["contract_dim"], inputs["card_account"])
-    t = "dtime_auth_transaction"
-    matched = card_transactions(acc, _withdrawals(inputs, t, rules.earliest_sign),
-                                F.col(t) >= F.col("sign_date"))
-    counts = (matched.groupBy("contract_code", "sign_date").agg(F.count_distinct(t).alias("total_transaction"))
-              .select(F.col("contract_code").alias("_c"), F.col("sign_date").alias("_s"), "total_transaction"))
+    if times is not None:
+        counts = times_since(pairs, times, inputs)
+    else:
+        t = "dtime_auth_transaction"
+        matched = _spent(inputs, spent, pairs, F.col(t) >= F.col("sign_date"), F.col(t) >= ts_lit(rules.earliest_sign), [t])
+        counts = matched.groupBy("contract_code", "sign_date").agg(F.count_distinct(t).alias("total_transaction"))
+    counts = counts.select(F.col("contract_code").alias("_c"), F.col("sign_date").alias("_s"), "total_transaction")
     out = base.join(counts, F.col("contract_code").eqNullSafe(F.col("_c"))
                     & F.col("sign_date").eqNullSafe(F.col("_s")), "left")
     return out.select("contract_code", "sign_date", "cuid", "apt_user",
