@@ -180,14 +180,14 @@ def op8_block_anchors(spark, sf_dir: str) -> DataFrame:
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with their columns; texts that hold repeats become their kept
     words joined by one space, and n_chars, if there, is counted again."""
-    keyed, results = removal(docs, window, of_kept=lambda c: F.when(F.col("n_removed") > 0, c))
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")  # whatever the columns are named
+    keyed, results = removal(packed, window, of_kept=lambda c: F.when(F.col("n_removed") > 0, c))
     changed = results.where("n_removed > 0").select("_key", F.col("kept").alias("_kept"))
     cells = {c: F.col(f"_row.{c}") for c in docs.columns} | {"text": F.coalesce("_kept", "_row.text")}
     if "n_chars" in cells:
         n_chars = F.char_length("_kept").cast(docs.schema["n_chars"].dataType)
         cells["n_chars"] = F.when(F.col("_kept").isNotNull(), n_chars).otherwise(F.col("_row.n_chars"))
-    packed = keyed.select("_key", F.struct(*docs.columns).alias("_row"))
-    return packed.join(changed, "_key", "left").select([cells[c].alias(c) for c in docs.columns])
+    return keyed.select("_key", "_row").join(changed, "_key", "left").select([cells[c].alias(c) for c in docs.columns])
 
 
 QUERIES = {"op8_block_anchors": op8_block_anchors}
