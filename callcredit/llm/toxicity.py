@@ -45,7 +45,6 @@ FOLDS = 5
 HELD_OUT_FOLD = 0
 CALIBRATION_FOLD = 4
 SIGNIFICANT = 0.01
-NO_LIMIT = 1e-300  # a K by which every segment is significant
 BEGINNINGS = (4, 5, 6)
 
 LETTER = np.zeros(256, bool)
@@ -231,14 +230,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
     tried = measured(calibration, model, ["toxic"]).select("toxic", "n", "hits").toPandas()
     toxic = tried[tried.toxic == 1]
     model["other"] = float(np.log1p(-min(max((toxic.hits.sum() + 1) / (toxic.n.sum() + 100), 1e-3), 0.5)))
-    everything = measured(calibration, model | {"k": NO_LIMIT}, ["toxic"], spans=True)
-    tried = everything.select("toxic", "n", "hits", "best", F.col("spans.score").alias("segments")).toPandas()
+    # A few numbers a calibration row, FIT_ROWS rows at most; texts are scanned again rather than their segments kept.
+    tried = measured(calibration, model, ["toxic"]).select("toxic", "n", "best").toPandas()
     clean = tried[tried.toxic == 0]
     if len(clean) == 0 or len(clean) == len(tried):
         return model
     model["k"] = float((len(clean) + 1) / ((np.maximum(clean.n, 1) * np.exp(-clean.best)).sum() + 1))
-    passages = np.array([sum(s >= _significant(n, model["k"]) for s in x) for n, x in zip(tried.n, tried.segments, strict=True)])
-    x = _evidence(tried.n.to_numpy(), tried.hits.to_numpy(), tried.best.to_numpy(), passages, model["k"])
+    tried = measured(calibration, model, ["toxic"]).select("toxic", "n", "hits", "best", "passages").toPandas()
+    x = _evidence(tried.n.to_numpy(), tried.hits.to_numpy(), tried.best.to_numpy(), tried.passages.to_numpy(), model["k"])
     model["curve"] = _fit_logistic(x, tried.toxic.to_numpy().astype(float))
     return model
 
