@@ -4,8 +4,8 @@ Every text is measured: words, characters in words, symbols, repeated lines
 and words in repeated 8-word windows. Four rules may fail: too few words, too
 many repeated words, too many symbols a word, too many repeated lines. Failures
 are summed by host (the source), and each rule's rate is shrunk towards the
-corpus by a beta prior fitted to the hosts by moments: a host with few rows
-needs more evidence. A host whose shrunk rate passes ``max_rate`` for any rule
+corpus by a beta prior fitted to the hosts by moments, less the noise of small
+hosts: a host with few rows needs more evidence. A host whose shrunk rate passes ``max_rate`` for any rule
 is rejected with all its documents; other documents stay unless they failed
 the base rules (words, repeated words) themselves.
 
@@ -112,13 +112,19 @@ def rule_failures(measured: DataFrame) -> DataFrame:
 
 
 def beta_prior(hosts: DataFrame, rule: str) -> tuple[float, float]:
-    """Prior failures and passes of a rule, by the moments of the hosts' rates."""
-    mean = hosts.agg(F.try_divide(F.sum(rule), F.sum("n")).alias("m")).first()["m"]
+    """Prior failures and passes of a rule, by the moments of the hosts' rates.
+
+    Rates of hosts that are all alike spread too, as each is a mean of few rows;
+    that sampling noise is taken off, and only what is left tells hosts apart.
+    """
+    one = hosts.agg(F.try_divide(F.sum(rule), F.sum("n")).alias("m"), F.count("*").alias("k"), F.sum("n").alias("n")).first()
+    mean = one["m"]
     if mean is None:
         return 1.0, 1.0
     gap = F.col(rule) / F.col("n") - mean
     spread = hosts.agg((F.sum(F.col("n") * gap * gap) / F.sum("n")).alias("v")).first()["v"]
-    strength = min(max(mean * (1 - mean) / spread - 1, 1.0), 1e6) if spread else 1e6
+    spread -= mean * (1 - mean) * (one["k"] - 1) / one["n"]
+    strength = min(max(mean * (1 - mean) / spread - 1, 1.0), 1e6) if spread > 0 else 1e6
     return mean * strength, (1 - mean) * strength
 
 
@@ -177,9 +183,12 @@ failed AS (
            (n_dup_lines * 100 > n_lines * {MAX_DUP_LINE_PERCENT})::INT AS lines FROM measure),
 host AS (SELECT source, count(*) AS n, {', '.join(f'sum({r}) AS {r}' for r in RULES)} FROM failed GROUP BY source),
 mean AS (SELECT {', '.join(f'sum({r}) / sum(n) AS m_{r}' for r in RULES)} FROM host),
-prior AS (
-    SELECT {', '.join(f'any_value(m_{r}) AS m_{r}, coalesce(least(greatest(any_value(m_{r}) * (1 - any_value(m_{r})) / nullif(sum(n * ({r} / n - m_{r}) ** 2) / sum(n), 0) - 1, 1), 1e6), 1e6) AS s_{r}' for r in RULES)}
+spread AS (
+    SELECT {', '.join(f'any_value(m_{r}) AS m_{r}, sum(n * ({r} / n - m_{r}) ** 2) / sum(n) - any_value(m_{r}) * (1 - any_value(m_{r})) * (count(*) - 1) / sum(n) AS v_{r}' for r in RULES)}
     FROM host, mean),
+prior AS (
+    SELECT {', '.join(f'm_{r}, CASE WHEN v_{r} > 0 THEN least(greatest(m_{r} * (1 - m_{r}) / v_{r} - 1, 1), 1e6) ELSE 1e6 END AS s_{r}' for r in RULES)}
+    FROM spread),
 verdict AS (
     SELECT source, greatest({', '.join(_RATE_SQL.format(r=r) for r in RULES)}) <= {MAX_HOST_RATE} AS host_kept FROM host, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short + repeats > 0 AS base_failed,
