@@ -76,8 +76,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row.
 
     Slots number a shard's rows from 0 without gaps. They come from counts of
-    (shard, part) pairs and a numbering inside each part, so no task holds a
-    whole shard; the number of parts follows the row count.
+    (shard, part) pairs and a numbering inside each part, a hash of the key, so no
+    task holds a whole shard unless rows share a key; the number of parts follows
+    the row count.
     """
     parts = max(1, math.ceil(docs.count() / (shards * rows_per_task)))
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -87,7 +88,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
         .withColumn("_key", F.coalesce("doc_id", "text_crc32"))
         .withColumn("_bucket", jump_hash_pair(F.col("_key"), shards))
         .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("_bucket.shard").alias("shard"),
-                F.col("_bucket.grown").alias("grown_shard"), F.pmod("_key", F.lit(parts).cast("long")).alias("_part")))
+                F.col("_bucket.grown").alias("grown_shard"),
+                # Hashed, as ids may go in steps of any size.
+                (F.conv(F.substring(F.md5(F.col("_key").cast("string")), 1, 8), 16, 10).cast("long") % parts).alias("_part")))
     before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
@@ -132,7 +135,7 @@ placed AS (
     SELECT rid, max(b) FILTER (b < {SHARDS}) AS shard, max(b) AS grown FROM jumps GROUP BY rid),
 parted AS (
     SELECT doc_id, size, text_crc32, shard, grown,
-           k % greatest(1, ceil((SELECT count(*) FROM documents) / ({SHARDS} * {ROWS_PER_TASK}.0)))::BIGINT AS part
+           ('0x' || substr(md5(k::VARCHAR), 1, 8))::BIGINT % greatest(1, ceil((SELECT count(*) FROM documents) / ({SHARDS} * {ROWS_PER_TASK}.0)))::BIGINT AS part
     FROM keyed JOIN placed USING (rid))
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
        row_number() OVER (PARTITION BY shard ORDER BY part, doc_id, text_crc32, size) - 1 AS slot,
