@@ -168,7 +168,7 @@ def pooled(vectors: np.ndarray, words: Words) -> np.ndarray:
     out = np.zeros((words.rows, WIDTH))
     buckets = bucket_of(hashes)
     at = np.flatnonzero(np.append(True, row[1:] != row[:-1])[:len(row)])
-    for i, j in zip(at.tolist(), np.append(at[1:], len(row)).tolist(), strict=True):
+    for i, j in zip(at.tolist(), np.append(at, len(row))[1:].tolist(), strict=True):
         out[row[i]] = _pooled_text(vectors, buckets[i:j])
     return out
 
