@@ -63,12 +63,20 @@ def test_transactions_are_never_broadcast(spark):
 
 def test_fixed_width_bands_join_on_the_day(spark):
     for name in ("m03_mobile_signups", "m07_push_usage_calls", "j05_signup_band", "j07_appointment_band",
-                 "j10_callback_pairs", "j10_callback_days"):
+                 "j10_callback_days"):
         p = plan(QUERIES[name](spark, SF_SMALL))
         assert "_day_bucket_p" in p and "_day_bucket_r" in p, name
         assert "explode(CASE WHEN" in p and "sequence(" in p, name
 
 
+def test_counts_and_next_events_form_no_pairs(spark):
+    """J10's counts and J15's next event join no calls with calls: windows over one client's events."""
+    p = plan(QUERIES["j15_next_calls"](spark, SF_SMALL))
+    assert "Window" in p and "Join" not in p.split("\n\n\n")[0]
+    p = plan(QUERIES["j10_callback_pairs"](spark, SF_SMALL))
+    assert "Window" in p and "_day_bucket" not in p
+
+
 def test_sequence_ids_use_a_range_shuffle(spark):
     p = plan(QUERIES["w07_contract_sequence"](spark, SF_SMALL))
     assert "Scan ExistingRDD" in p  # slices and positions are stored once
