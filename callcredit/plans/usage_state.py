@@ -32,9 +32,10 @@ def withdrawal_times(inputs, since) -> DataFrame:
     """(skp_card_account, times, n_times, day) of the withdrawals from ``since`` on."""
     t = F.col(TIME)
     seen = (inputs["card_txn"].where((F.col("code_card_transaction_group") == R.WITHDRAWAL) & (t >= ts_lit(since)))
-            .select("skp_card_account", t.alias("t"), F.date_format(t, "yyyy-MM-dd").alias("day")).distinct())
-    days = seen.groupBy("skp_card_account", "day").agg(F.sort_array(F.collect_list("t")).alias("times"))
-    return days.select("skp_card_account", "times", F.size("times").cast("long").alias("n_times"), "day")
+            .select("skp_card_account", t.alias("t"), F.date_format(t, "yyyy-MM-dd").alias("day")))
+    days = seen.groupBy("skp_card_account", "day").agg(F.sort_array(F.collect_set("t")).alias("times"))
+    # Few files a day, and a large day in several.
+    return days.select("skp_card_account", "times", F.size("times").cast("long").alias("n_times"), "day").hint("rebalance", F.col("day"))
 
 
 def refresh_times(spark: SparkSession, inputs, path: str, as_of, rules: R.Rules = R.DEFAULT_RULES, late_days: int = LATE_DAYS,
